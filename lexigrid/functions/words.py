@@ -30,8 +30,13 @@ def line_array(text: Column) -> Column:
     A final line break ends the last line and starts no new one; an empty text
     has no lines.
     """
-    parts = F.split(text, LINE_BREAK)
-    return F.when(text.rlike(r"[\r\n]\z") | (text == ""), F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    last_break_cut = (
+        F.when(text == "", None)
+        .when(text.endswith("\r\n"), F.substring(text, F.lit(1), F.length(text) - 2))
+        .when(text.endswith("\n") | text.endswith("\r"), F.substring(text, F.lit(1), F.length(text) - 1))
+        .otherwise(text)
+    )
+    return F.coalesce(F.split(last_break_cut, LINE_BREAK), F.array().cast("array<string>"))
 
 
 def words(text: Column, case_mode: str = "insensitive") -> Column:

@@ -11,14 +11,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexigrid.functions.arrays import bind, count_equal
 from lexigrid.functions.words import is_countable, words
 from lexigrid.operators.wordcount import positioned_words
 
 
 def listed_words(top: DataFrame, checked: bool = True) -> DataFrame:
-    """The list as distinct `word` rows; `checked` leaves out words that never count."""
-    listed = top.select("word").where(F.col("word") != "")
-    return (listed.where(is_countable(F.col("word"))) if checked else listed).distinct()
+    """The list as `word` rows; `checked` leaves out words that never count.
+
+    The check is written as a value, not as a filter on `word`: Spark would
+    repeat such a filter, pattern and all, on every word of the corpus.
+    """
+    word = F.col("word")
+    test = (word != "") & is_countable(word) if checked else word != ""
+    return top.select(F.when(test, word).alias("word")).where(word.isNotNull())
 
 
 def centres(lines: DataFrame, top: DataFrame, distance: int, line: str = "line") -> DataFrame:
@@ -50,64 +56,60 @@ def pair_counts(lines: DataFrame, top: DataFrame, distance: int = 1, line: str =
 def line_pairs(lines: DataFrame, top: DataFrame, distance: int, line: str = "line", checked: bool = True) -> DataFrame:
     """Each line with `centre_words` and its `pair_counts`, counted inside the row.
 
-    A line is one row, so its counts need no shuffle: the pairs of the line are
-    sorted and runs of equal pairs are measured. `pair_counts` is an array of
-    (w1, w2, n) in key order. `checked` is about w2; w1 always has to count.
+    A line is one row, so its counts need no shuffle. `pair_counts` is an array
+    of (item: (w1, w2), n) in key order. `checked` is about w2; w1 always has to
+    count.
     """
+    if distance < 1:
+        raise ValueError("distance must be at least 1")
     others = [name for name in lines.columns if name != line]
 
     def as_array(listed: DataFrame) -> Column:
+        # One array for the whole job, the size of the list.
         return listed.agg(F.collect_set("word")).scalar()
 
-    # One array for the whole job, the size of the list. Intersecting it with a
-    # line hashes it once and leaves the few listed words the line has.
-    found = lines.select(
+    placed = lines.select(
         *others,
-        words(F.col(line)).alias("_words"),
+        F.col(line).alias("_line"),
         as_array(listed_words(top)).alias("_centres"),
-        as_array(listed_words(top, checked)).alias("_listed"),
-    ).select(
-        *others,
-        "_words",
-        F.array_intersect("_words", "_centres").alias("centre_words"),
-        F.array_intersect("_words", "_listed").alias("_neighbours"),
+        as_array(listed_words(top, checked)).alias("_neighbours"),
     )
-
-    def following(i: Column, w1: Column) -> Column:
-        reach = F.filter(
-            F.slice(F.col("_words"), i + 2, distance), lambda w: F.array_contains(F.col("_neighbours"), w)
-        )
-        return F.transform(reach, lambda w2: F.struct(w1.alias("w1"), w2.alias("w2")))
-
     no_pairs = F.array().cast("array<struct<w1:string,w2:string>>")
-    per_word = F.transform(
-        F.col("_words"),
-        lambda w, i: F.when(F.array_contains(F.col("centre_words"), w), following(i, w)).otherwise(no_pairs),
-    )
-    paired = found.where(F.size("centre_words") > 0).select(
-        *others, "centre_words", F.sort_array(F.flatten(per_word)).alias("_sorted")
-    )
-
-    def starts_run(i: Column) -> Column:
-        pairs = F.col("_sorted")
-        return (i == 0) | (F.get(pairs, i) != F.get(pairs, i - 1))
 
-    starts = F.filter(F.transform("_sorted", lambda pair, i: i), starts_run)
-    with_starts = paired.select(*others, "centre_words", "_sorted", starts.alias("_starts"))
+    def pairs_of(in_line: Column, firsts: Column, seconds: Column) -> Column:
+        def following(w1: Column, i: Column) -> Column:
+            reach = F.filter(F.slice(in_line, i + 2, distance), lambda w: F.array_contains(seconds, w))
+            return F.transform(reach, lambda w2: F.struct(w1.alias("w1"), w2.alias("w2")))
 
-    def run(start: Column, k: Column) -> Column:
-        pair = F.get(F.col("_sorted"), start)
-        end = F.coalesce(F.get(F.col("_starts"), k + 1), F.size("_sorted"))
-        return F.struct(pair["w1"].alias("w1"), pair["w2"].alias("w2"), (end - start).cast("long").alias("n"))
+        per_word = F.transform(
+            in_line, lambda w, i: F.when(F.array_contains(firsts, w), following(w, i)).otherwise(no_pairs)
+        )
+        return F.flatten(per_word)
+
+    def counted(in_line: Column) -> Column:
+        # Intersecting hashes the list once per line and leaves the few listed
+        # words the line has, which are what each word is then looked up in.
+        firsts = F.array_intersect(in_line, F.col("_centres"))
+        seconds = F.array_intersect(in_line, F.col("_neighbours"))
+        return bind(
+            F.struct(firsts.alias("firsts"), seconds.alias("seconds")),
+            lambda present: F.struct(
+                present["firsts"].alias("centre_words"),
+                count_equal(pairs_of(in_line, present["firsts"], present["seconds"])).alias("pair_counts"),
+            ),
+        )
 
-    return with_starts.select(*others, "centre_words", F.transform("_starts", run).alias("pair_counts"))
+    return placed.select(*others, bind(words(F.col("_line")), counted).alias("_counted")).select(
+        *others, "_counted.centre_words", "_counted.pair_counts"
+    )
 
 
 def pair_counts_by_line(lines: DataFrame, top: DataFrame, distance: int = 1, line: str = "line") -> DataFrame:
     """Pair counts of every single line: the other columns, `w1, w2, n`. No shuffle."""
     others = [name for name in lines.columns if name != line]
     counted = line_pairs(lines, top, distance, line)
-    return counted.select(*others, F.inline_outer("pair_counts")).where(F.col("n").isNotNull())
+    rows = counted.select(*others, F.inline_outer("pair_counts")).where(F.col("n").isNotNull())
+    return rows.select(*others, "item.w1", "item.w2", "n")
 
 
 def roll_up_pairs(partial: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def stripes(
     """
     reached = centres(lines.select(line), top, distance, line).select("w1", F.explode_outer("following").alias("w2"))
     # The outer join keeps w1 where no neighbour is listed, for the empty stripe.
-    listed = listed_words(top, checked).select(F.col("word").alias("_listed"))
+    listed = listed_words(top, checked).select(F.col("word").alias("_listed")).distinct()
     pairs = reached.join(listed, F.col("w2") == F.col("_listed"), "left").select("w1", F.col("_listed").alias("w2"))
     return _to_stripes(pairs.groupBy("w1", "w2").agg(F.count("*").alias("n")))
 
@@ -57,8 +57,8 @@ def stripes_by_line(
     counted = line_pairs(lines, top, distance, line, checked)
 
     def stripe(w1: Column) -> Column:
-        own = F.filter(F.col("pair_counts"), lambda pair: pair["w1"] == w1)
-        entries = F.transform(own, lambda pair: F.struct(pair["w2"].alias("w2"), pair["n"].alias("n")))
+        own = F.filter(F.col("pair_counts"), lambda pair: pair["item"]["w1"] == w1)
+        entries = F.transform(own, lambda pair: F.struct(pair["item"]["w2"].alias("w2"), pair["n"].alias("n")))
         return F.struct(w1.alias("w1"), F.map_from_entries(entries).alias("stripe"))
 
     per_centre = counted.select(*others, F.transform("centre_words", stripe).alias("_stripes"))

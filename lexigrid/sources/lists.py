@@ -9,15 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigrid.functions.words import java_trim
 
 
 def word_list(spark: SparkSession, words: Iterable[str]) -> DataFrame:
-    """A list given in code, as `word`."""
-    return spark.createDataFrame([(word,) for word in words], "word string")
+    """A list given in code, as `word`.
+
+    Arrow data becomes a local relation, whose size the planner knows.
+    """
+    return spark.createDataFrame(pa.table({"word": pa.array(list(words), pa.string())}))
 
 
 def parse_stopwords(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -34,7 +38,7 @@ def parse_top_words(lines: DataFrame, value: str = "value") -> DataFrame:
     return _distinct_words(lines, java_trim(first))
 
 
-def _distinct_words(lines: DataFrame, word) -> DataFrame:
+def _distinct_words(lines: DataFrame, word: Column) -> DataFrame:
     return lines.select(word.alias("word")).where(F.col("word") != "").distinct()
 
 
