@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexigrid.functions.arrays import count_equal
 from lexigrid.functions.porter import stem_word, stem_words
 from lexigrid.functions.words import is_countable_token, words
 from lexigrid.sinks.text import encode_stripe
@@ -22,7 +23,7 @@ DICTIONARY_SIZE = 100
 def stem_dictionary(word_rows: DataFrame, column: str = "word") -> DataFrame:
     """`word, stem` for every distinct word."""
     distinct = word_rows.select(F.col(column).alias("word")).distinct()
-    return distinct.select("word", stem_word(F.col("word")).alias("stem"))
+    return distinct.select("word", stem_word("word").alias("stem"))
 
 
 # -- document frequency -------------------------------------------------------
@@ -51,10 +52,11 @@ def distinct_terms(
         kept = F.array_distinct(word_array) if stop is None else F.array_except(word_array, F.col("_stop"))
         return F.filter(kept, is_countable_token)
 
-    terms = allowed(words(F.col("_line")))
+    carried = [*others, *(["_stop"] if stop is not None else [])]
+    found = rows.select(*carried, allowed(words(F.col("_line"))).alias("terms"))
     if stemmed:
-        terms = allowed(stem_words(terms))
-    return rows.select(*others, terms.alias("terms"))
+        found = found.withColumn("terms", allowed(stem_words("terms")))
+    return found.select(*others, "terms")
 
 
 def document_frequency(
@@ -97,14 +99,16 @@ def top_terms(frequencies: DataFrame, k: int = DICTIONARY_SIZE) -> DataFrame:
 
 
 def scored_terms(lines: DataFrame, stemmed: bool = True, doc_id: str = "doc_id", line: str = "line") -> DataFrame:
-    """`doc_id, term` per word occurrence, by the looser rule for scoring.
+    """`doc_id, term, n` per row and distinct word, by the looser rule for scoring.
 
-    Words of two letters or more; no stopword list, no Roman rule.
+    Words of two letters or more; no stopword list, no Roman rule. Repeats of a
+    word in a row are counted first, so each is stemmed once.
     """
     counted = F.filter(words(F.col(line)), lambda word: F.length(word) >= MIN_SCORED_LENGTH)
-    terms = stem_words(counted) if stemmed else counted
-    rows = lines.select(F.col(doc_id).alias("doc_id"), F.explode_outer(terms).alias("term"))
-    return rows.where(F.col("term").isNotNull())
+    rows = lines.select(F.col(doc_id).alias("doc_id"), count_equal(counted).alias("_runs"))
+    terms = stem_words("_runs.item") if stemmed else F.col("_runs.item")
+    zipped = rows.select("doc_id", F.arrays_zip(terms.alias("term"), F.col("_runs.n").alias("n")).alias("_terms"))
+    return zipped.select("doc_id", F.inline_outer("_terms").alias("term", "n")).where(F.col("term").isNotNull())
 
 
 def term_frequency(
@@ -116,7 +120,7 @@ def term_frequency(
     each task adds up its part of a document first.
     """
     found = scored_terms(lines, stemmed, doc_id, line).join(dictionary.select("term", "df"), "term")
-    return found.groupBy("doc_id", "term", "df").agg(F.count("*").alias("tf")).select("doc_id", "term", "tf", "df")
+    return found.groupBy("doc_id", "term", "df").agg(F.sum("n").alias("tf")).select("doc_id", "term", "tf", "df")
 
 
 def score(tf: Column, df: Column, documents: float = SCORED_DOCUMENTS) -> Column:
