@@ -34,8 +34,12 @@ def centres(lines: DataFrame, top: DataFrame, distance: int, line: str = "line")
     others = [name for name in lines.columns if name != line]
     in_order = lines.select(*others, words(F.col(line)).alias("_words"))
     placed = in_order.select(*others, "_words", F.posexplode_outer("_words").alias("pos", "w1"))
-    found = placed.join(listed_words(top).withColumnRenamed("word", "w1"), "w1", "left_semi")
-    return found.select(*others, "pos", "w1", F.slice("_words", F.col("pos") + 2, distance).alias("following"))
+    # Cutting the window before the join costs nothing when the list is broadcast
+    # (it is evaluated for the rows that stay) and keeps whole lines out of the
+    # shuffle when the list is too large for that.
+    reach = placed.select(*others, "pos", "w1", F.slice("_words", F.col("pos") + 2, distance).alias("following"))
+    found = reach.join(listed_words(top).withColumnRenamed("word", "w1"), "w1", "left_semi")
+    return found.select(*others, "pos", "w1", "following")
 
 
 def neighbour_pairs(lines: DataFrame, top: DataFrame, distance: int = 1, line: str = "line") -> DataFrame:

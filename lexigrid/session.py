@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Text files are packed into (and split at) 64 MB tasks. Adaptive execution
-# merges small shuffle partitions and splits skewed ones.
+# Scan tasks take up to 256 MB, many small files packed together or part of a
+# large one: counts are added up inside a task first, so larger tasks send fewer
+# rows to the shuffle. Small inputs are still split over all cores. Adaptive
+# execution merges small shuffle partitions and splits skewed ones.
 SETTINGS = {
-    "spark.sql.files.maxPartitionBytes": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -15,6 +17,16 @@ SETTINGS = {
 }
 
 
+# The largest shuffles (word counts, document frequency by line) carry roughly a
+# tenth of the input after the first aggregation.
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 4 * 1024**3
+
+
+def shuffle_partitions(input_bytes: int, at_least: int = 200) -> int:
+    """How many shuffle partitions suit an input, some hundred MB each."""
+    return max(at_least, -(-input_bytes // INPUT_BYTES_PER_SHUFFLE_PARTITION))
+
+
 def build_session(app_name: str = "lexigrid", master: str | None = None, **settings: str) -> SparkSession:
     """A session with `SETTINGS`; the cluster's own configuration supplies the rest."""
     builder = SparkSession.builder.appName(app_name)

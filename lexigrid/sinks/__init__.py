@@ -1,6 +1,7 @@
 from lexigrid.sinks.text import (
     encode_stripe,
     render_pairs,
+    render_ranked,
     render_scores,
     render_stripes,
     render_tsv,
@@ -8,4 +9,4 @@ from lexigrid.sinks.text import (
     write_lines,
 )
 
-__all__ = ["encode_stripe", "render_pairs", "render_scores", "render_stripes", "render_tsv", "stripe_text", "write_lines"]
+__all__ = ["encode_stripe", "render_pairs", "render_ranked", "render_scores", "render_stripes", "render_tsv", "stripe_text", "write_lines"]

@@ -28,6 +28,12 @@ def render_tsv(rows: DataFrame, key: str, value: str) -> DataFrame:
     return rows.select(F.col(key).alias("key"), F.concat_ws("\t", key, F.col(value).cast("string")).alias("line"))
 
 
+def render_ranked(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """`render_tsv` for top lists, which are written highest value first."""
+    place = F.struct((-F.col(value)).alias("down"), F.col(key).alias("key"))
+    return rows.select(place.alias("key"), F.concat_ws("\t", key, F.col(value).cast("string")).alias("line"))
+
+
 def render_pairs(pairs: DataFrame) -> DataFrame:
     """`w1,w2⇥n` lines."""
     return render_tsv(pairs.select(F.concat_ws(",", "w1", "w2").alias("pair"), "n"), "pair", "n")
