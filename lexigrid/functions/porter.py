@@ -42,8 +42,7 @@ SHORT_SYLLABLE = "[^aeiouy][aeiouy][^aeiouywxY]$"
 DOUBLED = "(bb|cc|dd|ff|gg|hh|jj|kk|mm|nn|pp|qq|rr|tt|vv|ww|xx|yY)$"
 MIN_STEMMED_LENGTH = 3
 
-# Marks no word contains: -ed or -ing was just removed; too short to stem.
-_REMOVED = "+"
+# Put behind words too short to stem; no suffix ends in it.
 _SHIELD = "."
 
 
@@ -115,23 +114,19 @@ def _plurals() -> str:
 
 
 def _past_and_gerund() -> str:
-    return _case(
-        (_ends("eed"), _case((_measure_over_0(_without(3)), _without(1)))),
-        (f"{_ends('ed')} AND {_has_vowel(_without(2))}", _plus(_without(2), _REMOVED)),
-        (f"{_ends('ing')} AND {_has_vowel(_without(3))}", _plus(_without(3), _REMOVED)),
-    )
-
+    def removed(suffix: str) -> tuple[str, str]:
+        base = _without(len(suffix))
+        short = f"{_measure_over_0(base)} AND NOT {_measure_over_1(base)} AND {_short(base)}"
+        repaired = _case(
+            (_ends(f"at{suffix}", f"bl{suffix}", f"iz{suffix}"), _plus(base, "e")),
+            (f"({base} RLIKE '{DOUBLED}')", _without(len(suffix) + 1)),
+            (short, _plus(base, "e")),
+            otherwise=base,
+        )
+        return f"{_ends(suffix)} AND {_has_vowel(base)}", repaired
 
-def _repair_removed() -> str:
-    base = _without(1)
-    short = f"{_measure_over_0(base)} AND NOT {_measure_over_1(base)} AND {_short(base)}"
-    return _case(
-        (f"NOT {_ends(_REMOVED)}", "w"),
-        (_ends("at+", "bl+", "iz+"), _plus(base, "e")),
-        (f"({base} RLIKE '{DOUBLED}')", _without(2)),
-        (short, _plus(base, "e")),
-        otherwise=base,
-    )
+    kept_eed = _case((_measure_over_0(_without(3)), _without(1)))
+    return _case((_ends("eed"), kept_eed), removed("ed"), removed("ing"))
 
 
 def _final_y() -> str:
@@ -153,7 +148,6 @@ def _steps(revised: bool) -> list[str]:
         _mark(),
         _plurals(),
         _past_and_gerund(),
-        _repair_removed(),
         _final_y(),
         _longest_suffix(STEP_2 if revised else STEP_2_AS_OF_1980, lambda base, result: _measure_over_0(base)),
         _longest_suffix(STEP_3, lambda base, result: _measure_over_0(base)),
