@@ -27,8 +27,7 @@ def test_entry(spark):
     assert entry_points.entry(spark).count() == 50
 
 
-@pytest.mark.parametrize("name", QUERIES)
-def test_same_rows_as_sql(spark, duck, name):
+def assert_same_rows(spark, duck, name):
     found = QUERIES[name](spark, FOLDER)
     columns = sorted(found.columns)
     mine = sorted(map(tuple, found.select(columns).collect()), key=repr)
@@ -39,6 +38,25 @@ def test_same_rows_as_sql(spark, duck, name):
     assert mine == theirs
 
 
+@pytest.mark.parametrize("name", QUERIES)
+def test_same_rows_as_sql(spark, duck, name):
+    assert_same_rows(spark, duck, name)
+
+
+@pytest.mark.parametrize("name", ["wordcount", "stripes_d2", "stripes_loose_neighbour_d2", "occurrence_stripes_d3", "tfidf_from_corpus"])
+def test_same_rows_when_lists_are_too_large_to_broadcast(spark, duck, name):
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = spark.conf.get(limits[0])
+    for limit in limits:
+        spark.conf.set(limit, "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan(spark, name)
+        assert_same_rows(spark, duck, name)
+    finally:
+        spark.conf.set(limits[0], before)
+        spark.conf.unset(limits[1])
+
+
 def plan(spark, name):
     """Final-looking plan text without the subplans adaptive execution adds later."""
     return QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
