@@ -17,8 +17,12 @@ from pyspark.sql import functions as F
 
 from .shared import MaybeIn, map_batches, scratch, stage, texts
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk; each batch saves what it changed, and small stores don't reserve disk they won't fill.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(content: bytes) -> bytes:
@@ -45,8 +49,9 @@ def keyed_state(spark: SparkSession, folder: str, work: str, files_per_batch: in
     second call with the same `work` goes on where the first ended. The digest is grouped in
     each task before it is shuffled, so a third of all rows with one digest is one row a task.
     """
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STORE}
+    for key, value in STORE.items():
+        spark.conf.set(key, value)
     try:
         (
             spark.readStream.schema("doc_id long, locator string, digest binary")
@@ -62,7 +67,8 @@ def keyed_state(spark: SparkSession, folder: str, work: str, files_per_batch: in
             .awaitTermination()
         )
     finally:
-        spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     schema = "digest binary, keeper struct<doc_id: long, locator: string>, n long, batch int"
     reports = spark.read.schema(schema).parquet(f"{work}/reports")
     return reports.groupBy("digest").agg(
