@@ -106,13 +106,16 @@ class LineDedup:
             .groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep_id"))
             .where(F.col("n") >= self.min_docs)
         )
+        # Written first, so that the join has plain shuffles on both sides and hot lines can be split.
+        shared = stage(shared, f"{self.work}/shared")
         gone = found.join(shared, "hash").where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
         return gone.groupBy("row").agg(F.flatten(F.collect_list("positions")).alias("positions"))
 
     def _cleaned(self) -> DataFrame:
         """Affected rows with the positions that go as the last column."""
         by_row = self.dropped.select(F.col("row").alias("_llm_row"), F.col("positions").alias("_llm_gone"))
-        return self.affected.join(by_row, "_llm_row", "left").drop("_llm_row")
+        # The lists grow with the corpus: joined by shuffling at every size.
+        return self.affected.join(by_row.hint("merge"), "_llm_row", "left").drop("_llm_row")
 
     def summary(self) -> DataFrame:
         """One row per document: doc_id, n_lines, n_dropped, kept_sha256."""
