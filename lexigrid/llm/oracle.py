@@ -59,5 +59,41 @@ FROM cut
 """
 
 
+WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+DECONTAMINATION = f"""
+WITH items AS (
+    SELECT item_id::VARCHAR AS item_id, {WORDS.format(LOWER.format("coalesce(text, '')"))} AS w FROM benchmark
+), grams AS (
+    SELECT item_id, least(len(w), 10) AS size,
+           unnest(list_transform(range(greatest(len(w) - 9, 1)), lambda i: list_slice(w, i + 1, i + 10))) AS gram
+    FROM items WHERE len(w) > 0
+), docs AS (
+    SELECT doc_id, {WORDS.format(LOWER.format("coalesce(text, '')"))} AS w FROM documents
+), windows AS (
+    SELECT doc_id, size, unnest(range(len(w) - size + 1)) AS pos, w
+    FROM docs, (SELECT DISTINCT size FROM grams) WHERE len(w) >= size
+), hits AS (
+    SELECT doc_id, pos, size, item_id
+    FROM (SELECT doc_id, pos, size, list_slice(w, pos + 1, pos + size) AS gram FROM windows) JOIN grams USING (size, gram)
+), covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS p FROM (SELECT DISTINCT doc_id, pos, size FROM hits))
+    GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 def build() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT, "op2_line_dedup": LINES, "op3_sharding": SHARDS}
+    return {
+        "op1_exact_dedup": EXACT,
+        "op2_line_dedup": LINES,
+        "op3_sharding": SHARDS,
+        "op6_decontamination": DECONTAMINATION,
+    }

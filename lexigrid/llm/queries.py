@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe, lang_id
+from .decontaminate import Decontamination
 from .exact_dedup import Dedup
 from .line_dedup import LineDedup
-from .shared import read
+from .quality import Quality
+from .shared import held_out, read
 from .sharding import assign_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +37,46 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    scores = Quality(read(spark, folder, "documents"), read(spark, folder, "labels")).scores()
+    return scores.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    report = Decontamination(documents, read(spark, folder, "benchmark"), size=10).report()
+    return report.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op9_bpe(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = bpe.load_tokenizer(path or vocabulary(), public_tokenizers.PATTERN)
+    return bpe.round_trip(read(spark, folder, "documents"), tokenizer)
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents, space = read(spark, folder, "documents"), lang_id.Space()
+    found = lang_id.identify(documents.select("doc_id", "text"), space, lang_id.learn(documents, space))
+    return found.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_llm_lang").alias("lang_pred"),
+        F.col("_llm_score").alias("score"),
+    )
+
+
 def build() -> dict[str, Query]:
-    named = [op1_exact_dedup, op2_line_dedup, op3_sharding]
+    named = [
+        op1_exact_dedup, op2_line_dedup, op3_sharding, op4_quality, op6_decontamination, op9_bpe, op10_language_id,
+    ]
     return {query.__name__: query for query in named}

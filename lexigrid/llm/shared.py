@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +71,22 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+class Sent:
+    """An object of this package, of bounded size, broadcast to the tasks.
+
+    It travels with its class, and a worker process that runs several tasks loads it once.
+    """
+
+    def __init__(self, spark: SparkSession, held: object):
+        self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(held))
+
+    @property
+    def value(self):
+        if not hasattr(self.packed, "loaded"):
+            self.packed.loaded = cloudpickle.loads(self.packed.value)
+        return self.packed.loaded
+
+
 class MaybeIn:
     """A bitmap over 16-byte (or longer) hashes: "no" is certain, "yes" has to be checked.
 
