@@ -11,9 +11,11 @@ from . import bpe, lang_id
 from .decontaminate import Decontamination
 from .exact_dedup import Dedup
 from .line_dedup import LineDedup
+from .pii import KINDS, PersonalData, listed, of_kind
 from .quality import Quality
 from .shared import held_out, read
 from .sharding import assign_shards
+from .url_rules import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +47,14 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    spans = PersonalData(read(spark, folder, "documents").select("doc_id", "text")).spans()
+    counts = [F.size(F.filter("base", of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    return spans.select(
+        "doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents").select("doc_id", "text")
     report = Decontamination(documents, read(spark, folder, "benchmark"), size=10).report()
@@ -53,6 +63,23 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op8_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = judge(read(spark, folder, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select(
+        "page_id", F.col("_llm_host").alias("host"), F.col("_llm_path").alias("path"), F.col("_llm_rule").alias("rule"),
+        F.col("_llm_verdict").alias("verdict"),
+    )
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -77,6 +104,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def build() -> dict[str, Query]:
     named = [
-        op1_exact_dedup, op2_line_dedup, op3_sharding, op4_quality, op6_decontamination, op9_bpe, op10_language_id,
+        op1_exact_dedup, op2_line_dedup, op3_sharding, op4_quality, op5_pii, op6_decontamination,
+        op8_url_rules, op9_bpe, op10_language_id,
     ]
     return {query.__name__: query for query in named}
