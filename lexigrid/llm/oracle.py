@@ -89,6 +89,25 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+JACCARD = f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, list_distinct(list_transform(range(greatest(len(w) - 4, 1)),
+        lambda i: array_to_string(list_slice(w, i + 1, i + 5), ' '))) AS s
+    FROM docs WHERE len(w) > 0
+), grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+pairs AS (
+    SELECT x.doc_id AS a, y.doc_id AS b FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id
+    GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM docs
+    UNION SELECT reach.doc_id, b FROM reach JOIN pairs ON other = a
+)
+SELECT doc_id, coalesce(len(s), 0)::BIGINT AS n_shingles, component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sets USING (doc_id)
+"""
+
 
 def build() -> dict[str, str]:
     return {
@@ -96,4 +115,5 @@ def build() -> dict[str, str]:
         "op2_line_dedup": LINES,
         "op3_sharding": SHARDS,
         "op6_decontamination": DECONTAMINATION,
+        "op7_jaccard_join": JACCARD,
     }

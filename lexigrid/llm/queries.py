@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import bpe, lang_id
 from .decontaminate import Decontamination
 from .exact_dedup import Dedup
+from .jaccard_join import JaccardJoin
 from .line_dedup import LineDedup
 from .pii import KINDS, PersonalData, listed, of_kind
 from .quality import Quality
@@ -63,6 +64,10 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return JaccardJoin(read(spark, folder, "documents").select("doc_id", "text"), size=5, percent=80).groups()
+
+
 URL_RULES = [
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -105,6 +110,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def build() -> dict[str, Query]:
     named = [
         op1_exact_dedup, op2_line_dedup, op3_sharding, op4_quality, op5_pii, op6_decontamination,
-        op8_url_rules, op9_bpe, op10_language_id,
+        op7_jaccard_join, op8_url_rules, op9_bpe, op10_language_id,
     ]
     return {query.__name__: query for query in named}
