@@ -8,6 +8,9 @@ Documents with one set are one node. In a list of nodes that share an n-gram fir
 least node are compared; nodes that turn out linked form components, and then only pairs of different
 components are left. So a group of similar documents costs about its size, not its square, and
 no link between different components is missed.
+
+Before its overlap is counted a pair must pass the parities of its sets: bit i tells whether an odd number
+of n-grams hashes to i, so two sets differ in as many n-grams as their parities do in bits, at least.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from .components import components
 from .shared import MaybeIn, Sent, map_batches, scratch, stage, texts
 
 FACTOR = 0x9E3779B97F4A7C15
+PARITY_BITS = 512
+LONG_LIST = 64  # lists of so many nodes check parities inside the join
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -46,6 +51,11 @@ def node_of(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
+def parity_of(found: np.ndarray) -> list[int]:
+    odd = np.bincount((found & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 class Order:
     """The global order, from document frequencies counted in 2**log buckets of n-gram hashes.
 
@@ -101,14 +111,17 @@ class JaccardJoin:
         self.spark, self.bucket_log = docs.sparkSession, bucket_log
         self.work = scratch(self.spark, "jaccard")
         profiled = stage(self._profiled(), f"{self.work}/profiled")
-        self.documents = profiled.where("chunk IS NULL").select("doc_id", "n", "node")
+        self.documents = profiled.where("chunk IS NULL").select("doc_id", "n", "node", "parity")
         counts = np.zeros(1 << bucket_log, np.int64)
         parts = profiled.where("chunk IS NOT NULL").select("chunk", F.col("n").alias("salt"), F.col("node").alias("counts"))
         for chunk, own in added_up(parts).collect():  # one row a chunk, 2 MiB in all
             own = np.frombuffer(own, np.int64)
             counts[chunk * len(own) : (chunk + 1) * len(own)] = own
         self.order = Sent(self.spark, Order(counts, fragments))
-        self.nodes = self.documents.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+        self.nodes = self.documents.where("n > 0").groupBy("node").agg(
+            F.min("doc_id").alias("doc_id"), F.min("parity").alias("parity")
+        )
+        self.nodes = stage(self.nodes, f"{self.work}/nodes")
         self.listed = stage(self._listed(), f"{self.work}/listed")
         first = self._star_pairs()
         links = self._similar(first, "first")
@@ -126,7 +139,8 @@ class JaccardJoin:
         chunk_log = max(0, log - 10)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts, names = np.zeros(1 << log, np.int64), ["doc_id", "n", "node", "chunk"]
+            counts, names = np.zeros(1 << log, np.int64), ["doc_id", "n", "node", "chunk", "parity"]
+            parity = pa.list_(pa.int64())
             salt = 0
             for batch in batches:
                 sets = [shingles(t, size) for t in texts(batch.column(1))]
@@ -136,18 +150,19 @@ class JaccardJoin:
                 counts += np.bincount((all_found >> np.uint64(64 - log)).astype(np.int64), minlength=1 << log)
                 salt = (salt + int(all_found[0] if len(all_found) else 0)) % 64
                 n, nodes = [len(s) for s in sets], [node_of(s) for s in sets]
-                arrays = [batch.column(0), pa.array(n, pa.int32()), pa.array(nodes, pa.binary()), pa.nulls(len(n), pa.int32())]
+                arrays = [batch.column(0), pa.array(n, pa.int32()), pa.array(nodes, pa.binary()), pa.nulls(len(n), pa.int32()), pa.array([parity_of(s) for s in sets], parity)]
                 yield pa.RecordBatch.from_arrays(arrays, names)
             if counts.any():
                 rows = counts.reshape(1 << chunk_log, -1)
                 arrays = [
                     pa.nulls(len(rows), pa.int64()), pa.array([salt] * len(rows), pa.int32()),
                     pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(range(len(rows)), pa.int32()),
+                    pa.nulls(len(rows), parity),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
         rows = self.docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        return rows.mapInArrow(run, "doc_id long, n int, node binary, chunk int")
+        return rows.mapInArrow(run, "doc_id long, n int, node binary, chunk int, parity array<long>")
 
     def _listed(self) -> DataFrame:
         """gram, node, n, pos: the first n-grams of each set, where different nodes share one."""
@@ -190,6 +205,19 @@ class JaccardJoin:
         """Whether sets whose first common n-gram stands at these positions can overlap enough."""
         return (100 + self.percent) * F.least(n1 - pos1, n2 - pos2) >= self.percent * (n1 + n2)
 
+    def _parities_allow(self, n1: Column, parity1: Column, n2: Column, parity2: Column) -> Column:
+        """Whether sets with these parities can be similar enough; unknown parities allow it."""
+        bits = sum(F.bit_count(parity1[i].bitwiseXOR(parity2[i])) for i in range(PARITY_BITS // 64))
+        return F.coalesce((100 + self.percent) * bits <= (100 - self.percent) * (n1 + n2), F.lit(True))
+
+    def _checked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b, na, nb) that pass their parities."""
+        known = self.nodes.select("node", "parity")
+        both = pairs.join(known.withColumnsRenamed({"node": "a", "parity": "sa"}), "a")
+        both = both.join(known.withColumnsRenamed({"node": "b", "parity": "sb"}), "b")
+        allowed = self._parities_allow(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"))
+        return both.where(allowed).select("a", "b", "na", "nb")
+
     def _star_pairs(self) -> DataFrame:
         """a < b: each listed node with the least node of its list."""
         least = self.listed.groupBy("gram").agg(F.min(F.struct("node", "n", "pos")).alias("x"))
@@ -197,7 +225,7 @@ class JaccardJoin:
         joined = self.listed.join(least, "gram").where(F.col("node") > F.col("a"))
         may = joined.where(self._may_link(F.col("na"), F.col("pa"), F.col("n"), F.col("pos")))
         pairs = may.select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb")).distinct()
-        return stage(pairs, f"{self.work}/pairs-first")
+        return stage(self._checked(pairs), f"{self.work}/pairs-first")
 
     def _pairs_left(self, done: DataFrame) -> DataFrame:
         """a < b: listed nodes of different components, but those compared already."""
@@ -205,26 +233,36 @@ class JaccardJoin:
         own = stage(own, f"{self.work}/labelled")
         sizes = own.groupBy("gram", "label").count()
         most = sizes.groupBy("gram").agg(
-            F.max(F.struct("count", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("labels")
+            F.max(F.struct("count", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("labels"),
+            F.sum("count").alias("members"),
         ).where("labels > 1").drop("labels")
         mixed = own.join(most, "gram")
+        known = self.nodes.select("node", "parity")
+        mixed = mixed.where(F.col("members") < LONG_LIST).withColumn("parity", F.lit(None).cast("array<long>")).unionByName(
+            mixed.where(F.col("members") >= LONG_LIST).join(known, "node")
+        )
+        mixed = stage(mixed, f"{self.work}/mixed")
         x = mixed.where("label <> most").select(
-            "gram", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("label").alias("la")
+            "gram", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("label").alias("la"),
+            F.col("parity").alias("sa"),
         )
         y = mixed.select(
-            "gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("label").alias("lb"), "most"
+            "gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("label").alias("lb"), "most",
+            F.col("parity").alias("sb"),
         )
         # Two that are both outside the list's largest component meet twice; one of them counts.
         met = x.join(y, "gram").where(
             (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("most")) | (F.col("a") < F.col("b")))
             & self._may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"))
+            & self._parities_allow(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"))
         )
         swap = F.col("a") > F.col("b")
         pairs = met.select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
             F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"), F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb"),
         ).distinct()
-        return stage(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), f"{self.work}/pairs-left")
+        pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+        return stage(self._checked(pairs), f"{self.work}/pairs-left")
 
     def _segments(self, needed: DataFrame, name: str) -> DataFrame:
         """node, fragment, grams of the needed nodes, each from one of its documents."""
