@@ -27,7 +27,8 @@ from .components import components
 from .shared import MaybeIn, Sent, map_batches, scratch, stage, texts
 
 FACTOR = 0x9E3779B97F4A7C15
-PARITY_BITS = 512
+PARITY_BITS, WIDE_BITS = 512, 4096
+WIDE_FROM = 560  # sets of so many n-grams have wide parities as well
 LONG_LIST = 64  # lists of so many nodes check parities inside the join
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -51,11 +52,16 @@ def node_of(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
-def parity_of(found: np.ndarray) -> list[int]:
-    odd = np.bincount((found & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+def parity_of(found: np.ndarray, bits: int) -> list[int]:
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
+def parities_of(found: np.ndarray) -> dict[str, list[int] | None]:
+    wide = parity_of(found, WIDE_BITS) if len(found) >= WIDE_FROM else None
+    return {"narrow": parity_of(found, PARITY_BITS), "wide": wide}
+
+
 class Order:
     """The global order, from document frequencies counted in 2**log buckets of n-gram hashes.
 
@@ -119,7 +125,7 @@ class JaccardJoin:
             counts[chunk * len(own) : (chunk + 1) * len(own)] = own
         self.order = Sent(self.spark, Order(counts, fragments))
         self.nodes = self.documents.where("n > 0").groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.min("parity").alias("parity")
+            F.min("doc_id").alias("doc_id"), F.first("parity").alias("parity")
         )
         self.nodes = stage(self.nodes, f"{self.work}/nodes")
         self.listed = stage(self._listed(), f"{self.work}/listed")
@@ -140,7 +146,7 @@ class JaccardJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts, names = np.zeros(1 << log, np.int64), ["doc_id", "n", "node", "chunk", "parity"]
-            parity = pa.list_(pa.int64())
+            parity = pa.struct([("narrow", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
             salt = 0
             for batch in batches:
                 sets = [shingles(t, size) for t in texts(batch.column(1))]
@@ -150,7 +156,7 @@ class JaccardJoin:
                 counts += np.bincount((all_found >> np.uint64(64 - log)).astype(np.int64), minlength=1 << log)
                 salt = (salt + int(all_found[0] if len(all_found) else 0)) % 64
                 n, nodes = [len(s) for s in sets], [node_of(s) for s in sets]
-                arrays = [batch.column(0), pa.array(n, pa.int32()), pa.array(nodes, pa.binary()), pa.nulls(len(n), pa.int32()), pa.array([parity_of(s) for s in sets], parity)]
+                arrays = [batch.column(0), pa.array(n, pa.int32()), pa.array(nodes, pa.binary()), pa.nulls(len(n), pa.int32()), pa.array([parities_of(s) for s in sets], parity)]
                 yield pa.RecordBatch.from_arrays(arrays, names)
             if counts.any():
                 rows = counts.reshape(1 << chunk_log, -1)
@@ -162,10 +168,13 @@ class JaccardJoin:
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
         rows = self.docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        return rows.mapInArrow(run, "doc_id long, n int, node binary, chunk int, parity array<long>")
+        return rows.mapInArrow(run, "doc_id long, n int, node binary, chunk int, parity struct<narrow: array<long>, wide: array<long>>")
 
     def _listed(self) -> DataFrame:
-        """gram, node, n, pos: the first n-grams of each set, where different nodes share one."""
+        """gram, node, n, pos: the first n-grams of each set, where different nodes share one.
+
+        least is the least node of the list with its n and pos; null for that node itself.
+        """
         size, percent, sent = self.size, self.percent, self.order
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,10 +205,18 @@ class JaccardJoin:
 
         rows = self.docs.select(F.col("text").cast("string"))
         entries = rows.mapInArrow(run, "gram long, part int, node binary, n int, pos int")
-        one = Window.partitionBy("gram", "part")
-        entries = entries.withColumns({"low": F.min("node").over(one), "high": F.max("node").over(one)})
+        # Copies of a node from several tasks follow each other; the first node of a list is its least.
+        one = Window.partitionBy("gram", "part").orderBy("node")
+        whole = one.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        entries = entries.withColumns({
+            "before": F.lag("node").over(one), "least": F.first(F.struct("node", "n", "pos")).over(whole),
+            "high": F.last("node").over(whole),
+        })
         # An n-gram dealt in parts may have one node in a part and others elsewhere.
-        return entries.where("low <> high OR part >= 0").drop("low", "high", "part").distinct()
+        entries = entries.where("(least.node <> high OR part >= 0) AND (before IS NULL OR before <> node)")
+        return entries.select(
+            "gram", "node", "n", "pos", F.when(F.col("node") != F.col("least.node"), F.col("least")).alias("least")
+        )
 
     def _may_link(self, n1: Column, pos1: Column, n2: Column, pos2: Column) -> Column:
         """Whether sets whose first common n-gram stands at these positions can overlap enough."""
@@ -207,29 +224,35 @@ class JaccardJoin:
 
     def _parities_allow(self, n1: Column, parity1: Column, n2: Column, parity2: Column) -> Column:
         """Whether sets with these parities can be similar enough; unknown parities allow it."""
-        bits = sum(F.bit_count(parity1[i].bitwiseXOR(parity2[i])) for i in range(PARITY_BITS // 64))
-        return F.coalesce((100 + self.percent) * bits <= (100 - self.percent) * (n1 + n2), F.lit(True))
+        most = (100 - self.percent) * (n1 + n2)
+        narrow = sum(F.bit_count(parity1["narrow"][i].bitwiseXOR(parity2["narrow"][i])) for i in range(PARITY_BITS // 64))
+        wide = F.aggregate(
+            F.zip_with(parity1["wide"], parity2["wide"], lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x
+        )
+        fits = [F.coalesce((100 + self.percent) * bits <= most, F.lit(True)) for bits in (narrow, wide)]
+        return fits[0] & fits[1]
 
     def _checked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b, na, nb) that pass their parities."""
         known = self.nodes.select("node", "parity")
-        both = pairs.join(known.withColumnsRenamed({"node": "a", "parity": "sa"}), "a")
-        both = both.join(known.withColumnsRenamed({"node": "b", "parity": "sb"}), "b")
+        both = pairs.hint("merge").join(known.withColumnsRenamed({"node": "a", "parity": "sa"}), "a")
+        both = both.hint("merge").join(known.withColumnsRenamed({"node": "b", "parity": "sb"}), "b")
         allowed = self._parities_allow(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"))
         return both.where(allowed).select("a", "b", "na", "nb")
 
     def _star_pairs(self) -> DataFrame:
-        """a < b: each listed node with the least node of its list."""
-        least = self.listed.groupBy("gram").agg(F.min(F.struct("node", "n", "pos")).alias("x"))
-        least = least.select("gram", F.col("x.node").alias("a"), F.col("x.n").alias("na"), F.col("x.pos").alias("pa"))
-        joined = self.listed.join(least, "gram").where(F.col("node") > F.col("a"))
-        may = joined.where(self._may_link(F.col("na"), F.col("pa"), F.col("n"), F.col("pos")))
-        pairs = may.select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb")).distinct()
+        """a < b: each listed node with the least node of its list (or of its part, if it is dealt in parts)."""
+        joined = self.listed.select(
+            F.col("least.node").alias("a"), F.col("node").alias("b"), F.col("least.n").alias("na"), F.col("n").alias("nb"),
+            F.col("least.pos").alias("pa"), F.col("pos").alias("pb"),
+        )
+        may = joined.where(self._may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb")))
+        pairs = may.select("a", "b", "na", "nb").distinct()
         return stage(self._checked(pairs), f"{self.work}/pairs-first")
 
     def _pairs_left(self, done: DataFrame) -> DataFrame:
         """a < b: listed nodes of different components, but those compared already."""
-        own = self.listed.join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        own = self.listed.drop("least").join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         own = stage(own, f"{self.work}/labelled")
         sizes = own.groupBy("gram", "label").count()
         most = sizes.groupBy("gram").agg(
@@ -238,7 +261,7 @@ class JaccardJoin:
         ).where("labels > 1").drop("labels")
         mixed = own.join(most, "gram")
         known = self.nodes.select("node", "parity")
-        mixed = mixed.where(F.col("members") < LONG_LIST).withColumn("parity", F.lit(None).cast("array<long>")).unionByName(
+        mixed = mixed.where(F.col("members") < LONG_LIST).withColumn("parity", F.lit(None).cast(known.schema["parity"].dataType)).unionByName(
             mixed.where(F.col("members") >= LONG_LIST).join(known, "node")
         )
         mixed = stage(mixed, f"{self.work}/mixed")
@@ -299,7 +322,8 @@ class JaccardJoin:
         segments = self._segments(needed, name)
         of_a = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("ga"))
         of_b = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("gb"))
-        met = pairs.join(of_a, "a").join(of_b, ["b", "fragment"])
+        # Pairs grow with the corpus, so they are joined by shuffling at every size.
+        met = pairs.hint("merge").join(of_a, "a").hint("merge").join(of_b, ["b", "fragment"])
         parts = met.select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("part"))
         summed = parts.groupBy("a", "b").agg(F.sum("part").alias("o"), F.first("na").alias("na"), F.first("nb").alias("nb"))
         links = summed.where(100 * F.col("o") >= self.percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
