@@ -130,11 +130,12 @@ class JaccardJoin:
         self.nodes = stage(self.nodes, f"{self.work}/nodes")
         self.listed = stage(self._listed(), f"{self.work}/listed")
         first = self._star_pairs()
-        links = self._similar(first, "first")
-        self.labels = stage(components(links), f"{self.work}/labels-first")
-        links_left = self._similar(self._pairs_left(first), "left")
-        known = self.labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-        self.labels = stage(components(known.unionAll(links_left)), f"{self.work}/labels")
+        self.labels = stage(components(self._similar(first, "first")), f"{self.work}/labels-first")
+        mixed = self._mixed(self.listed.drop("least"), "first")
+        second = self._pairs_to_largest(mixed, first)
+        self._add_links(second, "second")
+        mixed = self._mixed(mixed.select("gram", "node", "n", "pos"), "second")
+        self._add_links(self._pairs_left(mixed, first.unionByName(second)), "left")
 
     def _profiled(self) -> DataFrame:
         """Of each document doc_id, n (set size) and node (set hash); of each task its bucket counts.
@@ -250,10 +251,18 @@ class JaccardJoin:
         pairs = may.select("a", "b", "na", "nb").distinct()
         return stage(self._checked(pairs), f"{self.work}/pairs-first")
 
-    def _pairs_left(self, done: DataFrame) -> DataFrame:
-        """a < b: listed nodes of different components, but those compared already."""
-        own = self.listed.drop("least").join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        own = stage(own, f"{self.work}/labelled")
+    def _add_links(self, pairs: DataFrame, name: str) -> None:
+        """Labels with the links among the pairs."""
+        known = self.labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        self.labels = stage(components(known.unionAll(self._similar(pairs, name))), f"{self.work}/labels-{name}")
+
+    def _mixed(self, entries: DataFrame, name: str) -> DataFrame:
+        """Of lists with several components the entries, each with its component and the list's largest one.
+
+        Entries of long lists have their parities too.
+        """
+        own = entries.join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        own = stage(own, f"{self.work}/labelled-{name}")
         sizes = own.groupBy("gram", "label").count()
         most = sizes.groupBy("gram").agg(
             F.max(F.struct("count", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("labels"),
@@ -261,10 +270,34 @@ class JaccardJoin:
         ).where("labels > 1").drop("labels")
         mixed = own.join(most, "gram")
         known = self.nodes.select("node", "parity")
-        mixed = mixed.where(F.col("members") < LONG_LIST).withColumn("parity", F.lit(None).cast(known.schema["parity"].dataType)).unionByName(
+        none = F.lit(None).cast(known.schema["parity"].dataType)
+        mixed = mixed.where(F.col("members") < LONG_LIST).withColumn("parity", none).unionByName(
             mixed.where(F.col("members") >= LONG_LIST).join(known, "node")
         )
-        mixed = stage(mixed, f"{self.work}/mixed")
+        return stage(mixed, f"{self.work}/mixed-{name}")
+
+    def _pairs_to_largest(self, mixed: DataFrame, done: DataFrame) -> DataFrame:
+        """a < b: each entry outside its list's largest component with the first-standing node inside."""
+        first = mixed.where("label = most").groupBy("gram").agg(F.min(F.struct("pos", "node", "n")).alias("x"))
+        met = mixed.where("label <> most").join(first, "gram").where(
+            self._may_link(F.col("n"), F.col("pos"), F.col("x.n"), F.col("x.pos"))
+        )
+        return self._new_pairs(met, (F.col("node"), F.col("n")), (F.col("x.node"), F.col("x.n")), done, "second")
+
+    def _new_pairs(
+        self, met: DataFrame, one: tuple[Column, Column], two: tuple[Column, Column], done: DataFrame, name: str
+    ) -> DataFrame:
+        """Distinct pairs (a < b, with their sizes) that were not compared yet and pass their parities."""
+        swap = one[0] > two[0]
+        pairs = met.select(
+            F.least(one[0], two[0]).alias("a"), F.greatest(one[0], two[0]).alias("b"),
+            F.when(swap, two[1]).otherwise(one[1]).alias("na"), F.when(swap, one[1]).otherwise(two[1]).alias("nb"),
+        ).distinct()
+        pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+        return stage(self._checked(pairs), f"{self.work}/pairs-{name}")
+
+    def _pairs_left(self, mixed: DataFrame, done: DataFrame) -> DataFrame:
+        """a < b: listed nodes of different components, but those compared already."""
         x = mixed.where("label <> most").select(
             "gram", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("label").alias("la"),
             F.col("parity").alias("sa"),
@@ -279,13 +312,7 @@ class JaccardJoin:
             & self._may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"))
             & self._parities_allow(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"))
         )
-        swap = F.col("a") > F.col("b")
-        pairs = met.select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-            F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"), F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb"),
-        ).distinct()
-        pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        return stage(self._checked(pairs), f"{self.work}/pairs-left")
+        return self._new_pairs(met, (F.col("a"), F.col("na")), (F.col("b"), F.col("nb")), done, "left")
 
     def _segments(self, needed: DataFrame, name: str) -> DataFrame:
         """node, fragment, grams of the needed nodes, each from one of its documents."""
@@ -329,8 +356,37 @@ class JaccardJoin:
         links = summed.where(100 * F.col("o") >= self.percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
         return stage(links, f"{self.work}/links-{name}")
 
+    def kept_rows(self) -> DataFrame:
+        """The documents whose doc_id is their component's least, with all their columns.
+
+        All rows that share the kept doc_id and its set stay. Rows that are certainly kept are not shuffled.
+        """
+        key = F.unhex(F.lpad(F.hex(F.xxhash64(F.col("doc_id").cast("long"))), 16, "0"))
+        dropped = self._by_document().where("doc_id <> component_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
+        dropped = stage(dropped.select(key.alias("key"), "node").distinct(), scratch(self.spark, "dropped"))
+        maybe, size, names = Sent(self.spark, MaybeIn(dropped, "key")), self.size, self.docs.columns
+        at, schema = names.index("text"), self.docs.schema
+
+        def make(batch: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
+            mask = maybe.value(batch.column(len(names)).to_pylist())
+            batch = batch.filter(pa.array(mask == wanted))
+            if not wanted:
+                return batch.select(names)
+            nodes = [node_of(shingles(t, size)) for t in texts(batch.column(at))]
+            return batch.append_column("_llm_node", pa.array(nodes, pa.binary()))
+
+        rows = self.docs.withColumn("_llm_key", key)
+        sure = map_batches(rows, lambda batch: make(batch, False), schema)
+        wide = type(schema)(list(schema.fields)).add("_llm_key", "binary").add("_llm_node", "binary")
+        unsure = map_batches(rows, lambda batch: make(batch, True), wide)
+        gone = dropped.select(F.col("key").alias("_llm_key"), F.col("node").alias("_llm_node"))
+        return sure.unionByName(unsure.join(gone, ["_llm_key", "_llm_node"], "left_anti").select(*names))
+
     def groups(self) -> DataFrame:
         """One row per document: doc_id, n_shingles, component_id (its component's least doc_id)."""
+        return self._by_document().drop("node")
+
+    def _by_document(self) -> DataFrame:
         labelled = self.nodes.join(self.labels, "node")
         least = labelled.groupBy("label").agg(F.min("doc_id").alias("of_all"))
         of_label = labelled.join(least, "label").select("node", "of_all")
@@ -338,5 +394,5 @@ class JaccardJoin:
         of_node = stage(of_node, scratch(self.spark, "component-ids"))
         full = self.documents.where("n > 0").join(of_node, "node")
         empty = self.documents.where("n = 0").withColumn("component_id", F.col("doc_id"))
-        names = ["doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id"]
+        names = ["doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "node"]
         return full.select(*names).unionAll(empty.select(*names))
