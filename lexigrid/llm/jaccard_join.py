@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import MaybeIn, Sent, map_batches, scratch, stage, texts
+from .shared import MaybeIn, Sent, map_batches, scratch, slices, stage, texts
 
 FACTOR = 0x9E3779B97F4A7C15
 PARITY_BITS, WIDE_BITS = 512, 4096
@@ -149,7 +149,7 @@ class JaccardJoin:
             counts, names = np.zeros(1 << log, np.int64), ["doc_id", "n", "node", "chunk", "parity"]
             parity = pa.struct([("narrow", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
             salt = 0
-            for batch in batches:
+            for batch in slices(batches):
                 sets = [shingles(t, size) for t in texts(batch.column(1))]
                 if not sets:
                     continue
@@ -180,7 +180,7 @@ class JaccardJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order, seen = sent.value, set()  # of a task's own documents
-            for batch in batches:
+            for batch in slices(batches):
                 grams, nodes, ns, places, parts = [], [], [], [], []
                 for text in texts(batch.column(0)):
                     found = shingles(text, size)
@@ -323,7 +323,7 @@ class JaccardJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order, maybe_in, seen = sent.value, maybe.value, set()
-            for batch in batches:
+            for batch in slices(batches):
                 batch = batch.filter(pa.array(maybe_in(batch.column(0).to_pylist())))
                 nodes, fragments, grams = [], [], []
                 for text in texts(batch.column(1)):

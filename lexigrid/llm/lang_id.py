@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Sent, held_out
+from .shared import Sent, held_out, slices
 
 SHIFT = 21  # bits of a code point
 SPACE = 32
@@ -115,7 +115,7 @@ def learn(docs: DataFrame, space: Space, per_language: int = 4000) -> dict[str,
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 vector = sent.value.vector(text or "")
                 if vector is not None:
@@ -147,7 +147,7 @@ def identify(docs: DataFrame, space: Space, prototypes: dict[str, np.ndarray]) -
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, names, matrix = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             found, scores = [], []
             for text in batch.column(at).to_pylist():
                 vector = space.vector(text or "") if names else None
