@@ -64,7 +64,7 @@ class Tokenizer:
     `cache` holds the ids of up to `cache_size` pre-tokens of up to 64 characters met by this process.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_size: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_size: int = 200_000):
         self.ranks, self.pattern, self.cache_size = ranks, regex.compile(pattern), cache_size
         self.hash = PerfectHash([*ranks])
         self.keys: list[bytes] = [b""] * len(ranks)
@@ -129,8 +129,12 @@ class Tokenizer:
         return b"".join(out)
 
     def decode(self, packed: bytes) -> bytes:
-        by_id = self.by_id
-        return b"".join([by_id[i] for i in np.frombuffer(packed, "<u4").tolist()])
+        return joined(packed, self.by_id)
+
+
+def joined(packed: bytes, by_id: dict[int, bytes]) -> bytes:
+    """The bytes that packed ids stand for."""
+    return b"".join([by_id[i] for i in np.frombuffer(packed, "<u4").tolist()])
 
 
 def load_tokenizer(path: str, pattern: str) -> Tokenizer:
@@ -159,10 +163,10 @@ def encode(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
 
 def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """`encoded` with `decoded`, the bytes its ids stand for."""
-    sent = Sent(encoded.sparkSession, tokenizer)
+    sent = Sent(encoded.sparkSession, tokenizer.by_id)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        decoded = [sent.value.decode(x) for x in batch.column(1).to_pylist()]
+        decoded = [joined(x, sent.value) for x in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"]
         )

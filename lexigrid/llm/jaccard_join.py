@@ -29,7 +29,7 @@ from .shared import MaybeIn, Sent, map_batches, scratch, slices, stage, texts
 FACTOR = 0x9E3779B97F4A7C15
 PARITY_BITS, WIDE_BITS = 512, 4096
 WIDE_FROM = 560  # sets of so many n-grams have wide parities as well
-LONG_LIST = 64  # lists of so many nodes check parities inside the join
+LONG_LIST = 8  # lists of so many nodes can have more pairs than entries: they check parities inside the join
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 

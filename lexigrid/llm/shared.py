@@ -31,12 +31,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the one all executors share.
 
     Where spark.checkpoint.dir is unset, a local session gets a temporary folder; any other
-    session is refused, since its executors would not see the driver's disk.
+    session is refused, since its executors would not see the driver's disk. Every operator starts here,
+    so this also lowers Spark's default of 10,000 rows a batch for Python, which is far too much
+    memory where a row is a whole document; any other value is left as it is.
     """
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "1000")
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local["):
