@@ -23,8 +23,8 @@ HEADLINE = [
     "wordcount_top50",
     *[f"pairs_d{d}" for d in (1, 2, 3, 4)],
     *[f"stripes_d{d}" for d in (1, 2, 3, 4)],
-    "pairs_line_rollup_d2",
-    "stripes_line_rollup_d2",
+    *[f"pairs_line_rollup_d{d}" for d in (1, 2, 3, 4)],
+    *[f"stripes_line_rollup_d{d}" for d in (1, 2, 3, 4)],
     "cooccurrence_from_corpus_d2",
     "document_frequency",
     "document_frequency_of_lines",

@@ -261,8 +261,10 @@ FROM (SELECT doc_id, '/corpus/' || source || '/' || doc_id ||
     for d in (1, 2, 3, 4):
         sql[f"pairs_d{d}"] = with_(*TOKENS, TOP, *pairs(d), PAIR_COUNTS) + "SELECT w1, w2, n FROM pair_counts"
         sql[f"stripes_d{d}"] = with_(*TOKENS, TOP, *pairs(d), stripe_of("")) + "SELECT w1, stripe FROM stripes"
-    sql["pairs_lead_window_d2"] = sql["pairs_line_rollup_d2"] = sql["pairs_d2"]
-    sql["stripes_line_rollup_d2"] = sql["stripes_d2"]
+    sql["pairs_lead_window_d2"] = sql["pairs_d2"]
+    for d in (1, 2, 3, 4):
+        sql[f"pairs_line_rollup_d{d}"] = sql[f"pairs_d{d}"]
+        sql[f"stripes_line_rollup_d{d}"] = sql[f"stripes_d{d}"]
     sql["pairs_by_line_d2"] = (
         with_(*TOKENS, TOP, *pairs(2))
         + "SELECT doc_id, line_no, w1, w2, count(*) AS n FROM pairs GROUP BY doc_id, line_no, w1, w2"

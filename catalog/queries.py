@@ -159,8 +159,8 @@ def pairs(distance: int) -> Query:
     return lambda spark, folder: cooccurrence.pair_counts(document_lines(spark, folder), top(spark), distance)
 
 
-def pairs_by_line(spark, folder):
-    return cooccurrence.pair_counts_by_line(document_lines(spark, folder), top(spark), 2)
+def pairs_by_line(spark, folder, distance=2):
+    return cooccurrence.pair_counts_by_line(document_lines(spark, folder), TOP_WORDS, distance)
 
 
 def rendered(stripe_rows: DataFrame) -> DataFrame:
@@ -176,11 +176,19 @@ def rendered_stripes(distance: int) -> Query:
 
 
 def occurrence_stripes_d3(spark, folder):
-    return rendered(stripes.occurrence_stripes(document_lines(spark, folder), top(spark), 3))
+    return rendered(stripes.occurrence_stripes(document_lines(spark, folder), TOP_WORDS, 3))
 
 
-def stripe_maps_by_line(spark, folder):
-    return stripes.stripes_by_line(document_lines(spark, folder), top(spark), 2)
+def stripe_maps_by_line(spark, folder, distance=2):
+    return stripes.stripes_by_line(document_lines(spark, folder), TOP_WORDS, distance)
+
+
+def rolled_up_pairs(distance: int) -> Query:
+    return lambda spark, folder: cooccurrence.roll_up_pairs(pairs_by_line(spark, folder, distance))
+
+
+def rolled_up_stripes(distance: int) -> Query:
+    return lambda spark, folder: rendered(stripes.merge_stripes(stripe_maps_by_line(spark, folder, distance)))
 
 
 def stripes_loose_neighbour_d2(spark, folder):
@@ -192,13 +200,13 @@ def stripes_loose_neighbour_d2(spark, folder):
 
 
 def line_distinct_terms(spark, folder):
-    found = indexing.distinct_terms(document_lines(spark, folder), stop(spark), stemmed=False)
+    found = indexing.distinct_terms(document_lines(spark, folder), STOPWORDS, stemmed=False)
     return found.withColumn("terms", F.array_join(F.array_sort("terms"), " "))
 
 
 def df_of_documents(spark, folder, stemmed=True):
     """`doc_id` is the key of the table: every row is one document."""
-    return indexing.document_frequency_of_rows(documents(spark, folder), stop(spark), stemmed)
+    return indexing.document_frequency_of_rows(documents(spark, folder), STOPWORDS, stemmed)
 
 
 def df_of_lines(spark, folder):
@@ -232,7 +240,7 @@ def rounded(scores: DataFrame) -> DataFrame:
 
 
 def corpus_scores(spark, folder, stemmed=True):
-    return scores_of_corpus(document_texts(spark, folder), stop(spark), whole_documents=True, stemmed=stemmed)
+    return scores_of_corpus(document_texts(spark, folder), STOPWORDS, whole_documents=True, stemmed=stemmed)
 
 
 def tfidf_scores(spark, folder):
@@ -266,7 +274,7 @@ def build() -> dict[str, Query]:
         **{f"pairs_d{d}": pairs(d) for d in (1, 2, 3, 4)},
         "pairs_lead_window_d2": lambda s, d: cooccurrence.pair_counts_by_window(document_lines(s, d), top(s), 2),
         "pairs_by_line_d2": pairs_by_line,
-        "pairs_line_rollup_d2": lambda s, d: cooccurrence.roll_up_pairs(pairs_by_line(s, d)),
+        **{f"pairs_line_rollup_d{d}": rolled_up_pairs(d) for d in (1, 2, 3, 4)},
         "pairs_rendered_d1": lambda s, d: render_pairs(pairs(1)(s, d)).select("line"),
         "cooccurrence_from_corpus_d2": lambda s, d: cooccurrence_of_corpus(
             document_lines(s, d), stop(s), k=50, distance=2
@@ -274,7 +282,7 @@ def build() -> dict[str, Query]:
         **{f"stripes_d{d}": rendered_stripes(d) for d in (1, 2, 3, 4)},
         "stripes_rendered_d2": lambda s, d: render_stripes(stripe_maps(2)(s, d)).select("line"),
         "stripes_by_line_d2": lambda s, d: rendered(stripe_maps_by_line(s, d)),
-        "stripes_line_rollup_d2": lambda s, d: rendered(stripes.merge_stripes(stripe_maps_by_line(s, d))),
+        **{f"stripes_line_rollup_d{d}": rolled_up_stripes(d) for d in (1, 2, 3, 4)},
         "occurrence_stripes_d3": occurrence_stripes_d3,
         "stripes_loose_neighbour_d2": stripes_loose_neighbour_d2,
         "line_distinct_terms": line_distinct_terms,

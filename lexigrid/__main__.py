@@ -17,7 +17,7 @@ from lexigrid.functions.words import CASE_MODES
 from lexigrid.operators import cooccurrence, indexing, stripes, wordcount
 from lexigrid.session import build_session
 from lexigrid.sinks import render_pairs, render_ranked, render_scores, render_stripes, render_tsv, write_lines
-from lexigrid.sources import read_df_dictionary, read_stopwords, read_text_corpus, read_top_words
+from lexigrid.sources import as_sequence, read_df_dictionary, read_stopwords, read_text_corpus, read_top_words
 
 
 def parser() -> argparse.ArgumentParser:
@@ -72,13 +72,13 @@ def render(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, bo
         top = read_top_words(spark, args.top_words)
         if args.by_line:
             return render_pairs(
-                cooccurrence.roll_up_pairs(cooccurrence.pair_counts_by_line(texts, top, args.distance))
+                cooccurrence.roll_up_pairs(cooccurrence.pair_counts_by_line(texts, as_sequence(top), args.distance))
             ), False
         return render_pairs(cooccurrence.pair_counts(texts, top, args.distance)), False
     if args.job == "stripes":
         top = read_top_words(spark, args.top_words)
         if args.by_line:
-            by_line = stripes.stripes_by_line(texts, top, args.distance, checked=not args.loose)
+            by_line = stripes.stripes_by_line(texts, as_sequence(top), args.distance, checked=not args.loose)
             return render_stripes(stripes.merge_stripes(by_line)), False
         return render_stripes(stripes.stripes(texts, top, args.distance, checked=not args.loose)), False
     if args.job == "df":

@@ -8,6 +8,9 @@ corpus with itself, and nothing is shuffled before the counts are aggregated.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,31 +56,30 @@ def neighbour_pairs(lines: DataFrame, top: DataFrame, distance: int = 1, line: s
 
 def pair_counts(lines: DataFrame, top: DataFrame, distance: int = 1, line: str = "line") -> DataFrame:
     """`w1, w2, n`: the co-occurrence matrix as rows."""
-    pairs = neighbour_pairs(lines.select(line), top, distance, line)
-    return pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
+    reached = centres(lines.select(line), top, distance, line).select("w1", F.explode_outer("following").alias("w2"))
+    counts = reached.groupBy("w1", "w2").agg(F.count("*").alias("n"))
+    return counts.join(listed_words(top).withColumnRenamed("word", "w2"), "w2", "left_semi").select("w1", "w2", "n")
+
 
+def countable_listed(top: Sequence[str], checked: bool = True) -> list[str]:
+    """`listed_words` of a list in code."""
+    return sorted({w for w in top if w and (not checked or re.fullmatch(r"(?![ivx]+$)[a-z]{3,}", w))})
 
-def line_pairs(lines: DataFrame, top: DataFrame, distance: int, line: str = "line", checked: bool = True) -> DataFrame:
+
+def line_pairs(lines: DataFrame, top: Sequence[str], distance: int, line: str = "line", checked: bool = True) -> DataFrame:
     """Each line with `centre_words` and its `pair_counts`, counted inside the row.
 
     A line is one row, so its counts need no shuffle. `pair_counts` is an array
-    of (item: (w1, w2), n) in key order. `checked` is about w2; w1 always has to
+    of (item: (w1, w2), n) in key order. The list is a sequence: each task has it as one
+    hash set, made once. `checked` is about w2; w1 always has to
     count.
     """
     if distance < 1:
         raise ValueError("distance must be at least 1")
     others = [name for name in lines.columns if name != line]
 
-    def as_array(listed: DataFrame) -> Column:
-        # One array for the whole job, the size of the list.
-        return listed.agg(F.collect_set("word")).scalar()
-
-    placed = lines.select(
-        *others,
-        F.col(line).alias("_line"),
-        as_array(listed_words(top)).alias("_centres"),
-        as_array(listed_words(top, checked)).alias("_neighbours"),
-    )
+    centre_list, neighbour_list = countable_listed(top), countable_listed(top, checked)
+    placed = lines.select(*others, F.col(line).alias("_line"))
     no_pairs = F.array().cast("array<struct<w1:string,w2:string>>")
 
     def pairs_of(in_line: Column, firsts: Column, seconds: Column) -> Column:
@@ -91,10 +93,9 @@ def line_pairs(lines: DataFrame, top: DataFrame, distance: int, line: str = "lin
         return F.flatten(per_word)
 
     def counted(in_line: Column) -> Column:
-        # Intersecting hashes the list once per line and leaves the few listed
-        # words the line has, which are what each word is then looked up in.
-        firsts = F.array_intersect(in_line, F.col("_centres"))
-        seconds = F.array_intersect(in_line, F.col("_neighbours"))
+        # The few listed words the line has are what each word is then looked up in.
+        firsts = F.array_distinct(F.filter(in_line, lambda w: w.isin(centre_list)))
+        seconds = F.array_distinct(F.filter(in_line, lambda w: w.isin(neighbour_list)))
         return bind(
             F.struct(firsts.alias("firsts"), seconds.alias("seconds")),
             lambda present: F.struct(
@@ -108,7 +109,7 @@ def line_pairs(lines: DataFrame, top: DataFrame, distance: int, line: str = "lin
     )
 
 
-def pair_counts_by_line(lines: DataFrame, top: DataFrame, distance: int = 1, line: str = "line") -> DataFrame:
+def pair_counts_by_line(lines: DataFrame, top: Sequence[str], distance: int = 1, line: str = "line") -> DataFrame:
     """Pair counts of every single line: the other columns, `w1, w2, n`. No shuffle."""
     others = [name for name in lines.columns if name != line]
     counted = line_pairs(lines, top, distance, line)

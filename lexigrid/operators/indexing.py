@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrid.functions.arrays import count_equal
 from lexigrid.functions.porter import stem_word, stem_words
 from lexigrid.functions.words import is_countable_token, words
+from lexigrid.operators.wordcount import without_stopwords
 from lexigrid.sinks.text import encode_stripe
 
 # Fixed value: the collection size in the score is this constant, whatever the
@@ -29,36 +32,41 @@ def stem_dictionary(word_rows: DataFrame, column: str = "word") -> DataFrame:
 # -- document frequency -------------------------------------------------------
 
 
-def _listed_array(stopwords: DataFrame | None) -> Column | None:
-    return None if stopwords is None else stopwords.agg(F.collect_set("word")).scalar()
-
-
 def distinct_terms(
-    lines: DataFrame, stopwords: DataFrame | None = None, stemmed: bool = True, line: str = "line"
+    lines: DataFrame, stopwords: Sequence[str] | None = None, stemmed: bool = True, line: str = "line"
 ) -> DataFrame:
     """Each row with `terms`, its distinct terms, in place of the line.
 
-    Words have to count and be on no stopword list, before stemming and again
-    after it. All of it happens inside the row; each distinct word is stemmed
-    once.
+    Words have to count and be on no stopword list, before stemming and again after it. All of it
+    happens inside the row, so the list is a sequence, which each task has as one hash set; each
+    distinct word is stemmed once.
     """
     others = [name for name in lines.columns if name != line]
-    rows = lines.select(*others, F.col(line).alias("_line"))
-    stop = _listed_array(stopwords)
-    if stop is not None:
-        rows = rows.withColumn("_stop", stop)
+    stop = sorted({*(stopwords or ())})
 
-    def allowed(word_array: Column) -> Column:
-        kept = F.array_distinct(word_array) if stop is None else F.array_except(word_array, F.col("_stop"))
-        return F.filter(kept, is_countable_token)
+    def allowed(word: Column) -> Column:
+        return is_countable_token(word) & ~word.isin(stop) if stop else is_countable_token(word)
 
-    carried = [*others, *(["_stop"] if stop is not None else [])]
-    found = rows.select(*carried, allowed(words(F.col("_line"))).alias("terms"))
+    found = lines.select(*others, F.filter(F.array_distinct(words(F.col(line))), allowed).alias("terms"))
     if stemmed:
-        found = found.withColumn("terms", allowed(stem_words("terms")))
+        found = found.withColumn("terms", F.filter(F.array_distinct(stem_words("terms")), allowed))
     return found.select(*others, "terms")
 
 
+def _document_terms(rows: DataFrame, stopwords: DataFrame | None, stemmed: bool, line: str) -> DataFrame:
+    """The other columns and `term`, words of the rows that count; repeats of a word in a row only once.
+
+    The list is joined, before stemming and again after it, so it may be of any size.
+    """
+    others = [name for name in rows.columns if name != line]
+    distinct = rows.select(*others, F.explode_outer(F.array_distinct(words(F.col(line)))).alias("term"))
+    found = without_stopwords(distinct.where(is_countable_token(F.col("term"))), stopwords, "term")
+    if not stemmed:
+        return found
+    stems = found.select(*others, stem_word("term").alias("term")).where(is_countable_token(F.col("term")))
+    return without_stopwords(stems, stopwords, "term")
+
+
 def document_frequency(
     lines: DataFrame,
     stopwords: DataFrame | None = None,
@@ -72,13 +80,12 @@ def document_frequency(
     term) is made distinct in each task, then once more by key: the keys are many
     and of equal weight even if one document or one term is everywhere.
     """
-    terms = distinct_terms(lines.select(doc_id, line), stopwords, stemmed, line)
-    occurrences = terms.select(doc_id, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
-    return occurrences.distinct().groupBy("term").agg(F.count("*").alias("df"))
+    terms = _document_terms(lines.select(doc_id, line), stopwords, stemmed, line)
+    return terms.distinct().groupBy("term").agg(F.count("*").alias("df"))
 
 
 def document_frequency_of_rows(
-    texts: DataFrame, stopwords: DataFrame | None = None, stemmed: bool = True, text: str = "text"
+    texts: DataFrame, stopwords: Sequence[str] | None = None, stemmed: bool = True, text: str = "text"
 ) -> DataFrame:
     """`document_frequency` where every row is one whole document.
 

@@ -7,10 +7,13 @@ neighbour keeps an empty stripe.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexigrid.operators.cooccurrence import centres, line_pairs, listed_words
+from lexigrid.functions.words import words
+from lexigrid.operators.cooccurrence import centres, countable_listed, line_pairs, listed_words
 
 
 def _to_stripes(counted: DataFrame) -> DataFrame:
@@ -34,13 +37,17 @@ def stripes(
     return _to_stripes(pairs.groupBy("w1", "w2").agg(F.count("*").alias("n")))
 
 
-def occurrence_stripes(lines: DataFrame, top: DataFrame, distance: int = 1, line: str = "line") -> DataFrame:
+def occurrence_stripes(lines: DataFrame, top: Sequence[str], distance: int = 1, line: str = "line") -> DataFrame:
     """One stripe per occurrence of a listed word: other columns, `pos, w1, stripe`. No shuffle."""
     others = [name for name in lines.columns if name != line]
-    listed = listed_words(top).agg(F.collect_set("word")).scalar()
-    reach = centres(lines, top, distance, line).select(
-        *others, "pos", "w1", "following", F.array_intersect("following", listed).alias("_distinct")
-    )
+    if distance < 1:
+        raise ValueError("distance must be at least 1")
+    listed = countable_listed(top)
+    in_order = lines.select(*others, words(F.col(line)).alias("_words"))
+    placed = in_order.select(*others, "_words", F.posexplode_outer("_words").alias("pos", "w1")).where(F.col("w1").isin(listed))
+    reach = placed.select(*others, "pos", "w1", F.slice("_words", F.col("pos") + 2, distance).alias("following"))
+    near = F.array_distinct(F.filter("following", lambda w: w.isin(listed)))
+    reach = reach.withColumn("_distinct", near)
 
     def entry(w2: Column) -> Column:
         n = F.size(F.filter(F.col("following"), lambda w: w == w2)).cast("long")
@@ -50,7 +57,7 @@ def occurrence_stripes(lines: DataFrame, top: DataFrame, distance: int = 1, line
 
 
 def stripes_by_line(
-    lines: DataFrame, top: DataFrame, distance: int = 1, line: str = "line", checked: bool = True
+    lines: DataFrame, top: Sequence[str], distance: int = 1, line: str = "line", checked: bool = True
 ) -> DataFrame:
     """The stripes of every single line: other columns, `w1, stripe`. No shuffle."""
     others = [name for name in lines.columns if name != line]

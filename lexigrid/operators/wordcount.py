@@ -46,8 +46,10 @@ def word_counts(
     Each task counts before the shuffle, so a word that makes up a third of the
     corpus is one row per task there.
     """
-    counted = without_stopwords(countable_words(lines.select(line), case_mode, line), stopwords)
-    return counted.groupBy("word").agg(F.count("*").alias("n"))
+    counts = countable_words(lines.select(line), case_mode, line).groupBy("word").agg(F.count("*").alias("n"))
+    # Counts are joined, not words: where the list is too large to broadcast, no frequent word is
+    # shuffled as itself. A small list is joined below the count, by Spark's own choice.
+    return without_stopwords(counts, stopwords)
 
 
 def top_words(counts: DataFrame, k: int = 50, ties: str = "ascending") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from lexigrid.operators.cooccurrence import pair_counts
@@ -30,7 +32,7 @@ def cooccurrence_of_corpus(
 
 def scores_of_corpus(
     texts: DataFrame,
-    stopwords: DataFrame | None = None,
+    stopwords: DataFrame | Sequence[str] | None = None,
     k: int = DICTIONARY_SIZE,
     whole_documents: bool = False,
     stemmed: bool = True,
@@ -40,7 +42,7 @@ def scores_of_corpus(
     """TF-IDF of a corpus over its own `k` terms of highest document frequency.
 
     Set `whole_documents` where every row is one document; see
-    `document_frequency_of_rows`.
+    `document_frequency_of_rows`. Its list is then a sequence, otherwise a DataFrame.
     """
     if whole_documents:
         frequencies = document_frequency_of_rows(texts, stopwords, stemmed, line)

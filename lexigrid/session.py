@@ -17,21 +17,20 @@ SETTINGS = {
 }
 
 
-# The largest shuffles (word counts, document frequency by line) carry roughly a
-# tenth of the input after the first aggregation.
-INPUT_BYTES_PER_SHUFFLE_PARTITION = 4 * 1024**3
-
-
-def shuffle_partitions(input_bytes: int, at_least: int = 200) -> int:
-    """How many shuffle partitions suit an input, some hundred MB each."""
-    return max(at_least, -(-input_bytes // INPUT_BYTES_PER_SHUFFLE_PARTITION))
-
 
 def build_session(app_name: str = "lexigrid", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with `SETTINGS`; the cluster's own configuration supplies the rest."""
+    """A session with `settings`, and with `SETTINGS` where the user has set nothing else.
+
+    What spark-submit or the cluster's defaults say stays as it is.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **settings}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in SETTINGS.items():
+        if key not in settings and not given.contains(key):
+            spark.conf.set(key, value)
+    return spark

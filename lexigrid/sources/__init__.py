@@ -1,5 +1,6 @@
 from lexigrid.sources.corpus import document_id, lines_of, read_text_corpus
 from lexigrid.sources.lists import (
+    as_sequence,
     parse_df_dictionary,
     parse_stopwords,
     parse_top_words,
@@ -11,6 +12,7 @@ from lexigrid.sources.lists import (
 from lexigrid.sources.tables import read_table
 
 __all__ = [
+    "as_sequence",
     "document_id",
     "lines_of",
     "parse_df_dictionary",

@@ -77,3 +77,11 @@ def read_df_dictionary(spark: SparkSession, path: str) -> DataFrame:
     # Place in the file: blocks may be scanned in any order, rows of a block not.
     place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
     return parse_df_dictionary(spark.read.text(path).select("value", place.alias("line_no")))
+
+
+def as_sequence(listed: DataFrame, at_most: int = 100_000) -> list[str]:
+    """The words of a list file for the jobs that keep it in every task; a longer one is refused."""
+    found = [row.word for row in listed.select("word").limit(at_most + 1).collect()]
+    if len(found) > at_most:
+        raise ValueError(f"the list has more than {at_most} words; use the job without --by-line")
+    return found

@@ -4,25 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A table smaller than this per core is dealt out over all cores.
-SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
 
+def read_table(spark: SparkSession, path: str, *columns: str, partitions: int | None = None) -> DataFrame:
+    """The named columns of a parquet table.
 
-def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """The named columns of a parquet table, split finely enough for the cores.
-
-    Tokenising is far slower than reading, and a small file can hold all of its
-    rows in one row group, which is one task. Only tables whose total size is
-    known to be small for this cluster are redistributed; anything larger
-    already has more scan tasks than cores and is never shuffled here.
+    With `partitions` the rows are dealt out evenly over so many, which is a shuffle of all of them;
+    it is for a small table whose files hold one row group each. None never shuffles.
     """
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    small = _file_bytes(table) < cores * SMALL_BYTES_PER_CORE
-    table = table.select(*columns)
-    return table.repartition(cores) if small else table
-
-
-def _file_bytes(table: DataFrame) -> int:
-    """Size of the files behind a freshly read table, as the planner knows it."""
-    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    table = spark.read.parquet(path).select(*columns)
+    return table if partitions is None else table.repartition(partitions)

@@ -93,8 +93,7 @@ def test_stripe_text_is_sorted(spark):
     assert [r[0] for r in row.select(stripe_text(F.col("m"))).collect()] == ["{a=2, b=1}", "{}"]
 
 
-def test_only_small_tables_are_dealt_out(spark, monkeypatch):
+def test_tables_are_dealt_out_only_on_request(spark):
     path = "/root/testdata/sf0.001/documents.parquet"
-    assert "RoundRobinPartitioning" in read_table(spark, path, "text")._jdf.queryExecution().toString()
-    monkeypatch.setattr("lexigrid.sources.tables.SMALL_BYTES_PER_CORE", 1)
     assert "RoundRobinPartitioning" not in read_table(spark, path, "text")._jdf.queryExecution().toString()
+    assert "RoundRobinPartitioning" in read_table(spark, path, "text", partitions=3)._jdf.queryExecution().toString()
