@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 
 from .shared import MaybeIn, map_batches, scratch, stage, texts
 
-# State on disk; each batch saves what it changed, and small stores don't reserve disk they won't fill.
+# State on disk; each batch saves what it changed, small stores don't reserve disk they won't fill, and
+# all stores of an executor share one bounded piece of memory.
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
 
 
