@@ -320,6 +320,15 @@ FROM lines l LEFT JOIN counted c USING (doc_id, line_no) GROUP BY l.doc_id, l.li
         + "SELECT doc_id, string_agg(term || ':' || tf, '|' ORDER BY term) AS stripe FROM tf GROUP BY doc_id"
     )
     sql["doc_stripe_merged"] = with_(*STEM_TF) + "SELECT doc_id, term, tf FROM tf"
+    given = with_(*conversation_df()) + "SELECT term, df FROM dictionary"
+    sql["tfidf_from_stripes"] = with_(
+        f"encoded AS ({sql['doc_stripe_encoded']})",
+        f"given AS ({given})",
+        "parts AS (SELECT doc_id, unnest(string_split(stripe, '|')) AS part FROM encoded)",
+        "decoded AS (SELECT doc_id, split_part(part, ':', 1) AS term, sum(split_part(part, ':', 2)::BIGINT)::BIGINT AS tf "
+        "FROM parts GROUP BY ALL)",
+        "tf AS (SELECT doc_id, term, tf, coalesce(df, 1) AS df FROM decoded LEFT JOIN given USING (term))",
+    ) + f"SELECT doc_id, term, df, round({SCORE}, 6) AS score FROM tf"
     sql["tfidf_from_corpus"] = with_(*STEM_TF) + SCORES
     sql["tfidf_tsv_lines"] = (
         with_(*STEM_TF) + f"SELECT printf('%s%s%s%s%.6f', doc_id::VARCHAR, chr(9), term, chr(9), {SCORE}) AS line FROM tf"

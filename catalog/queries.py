@@ -249,6 +249,15 @@ def tfidf_scores(spark, folder):
     return rounded(indexing.tf_idf(indexing.term_frequency(document_texts(spark, folder), given)))
 
 
+def tfidf_from_stripes(spark, folder):
+    """Encoded stripes of one collection's terms, scored with the dictionary of another; df 1 where it lacks a term."""
+    encoded = indexing.encoded_stripes(indexing.document_stripes(frequencies(spark, folder)))
+    given = indexing.top_terms(df_of_conversations(spark, folder))
+    known = indexing.with_document_frequency(indexing.merge_encoded_stripes(encoded), given)
+    scores = known.withColumn("score", indexing.score(F.col("tf"), F.col("df")))
+    return rounded(scores.select("doc_id", "term", F.col("df").cast("long").alias("df"), "score"))
+
+
 def build() -> dict[str, Query]:
     return {
         "scan_lines": scan_lines,
@@ -297,6 +306,7 @@ def build() -> dict[str, Query]:
         "doc_stripe_encoded": lambda s, d: indexing.encoded_stripes(indexing.document_stripes(frequencies(s, d))),
         "doc_stripe_merged": doc_stripe_merged,
         "tfidf_scores": tfidf_scores,
+        "tfidf_from_stripes": tfidf_from_stripes,
         "tfidf_from_corpus": lambda s, d: rounded(corpus_scores(s, d)),
         "tfidf_scores_unstemmed": lambda s, d: rounded(corpus_scores(s, d, stemmed=False)),
         "tfidf_tsv_lines": lambda s, d: render_scores(corpus_scores(s, d)).select("line"),
