@@ -8,6 +8,7 @@ pre-token's bytes, so a pre-token of n bytes takes n log n steps.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 
 import numpy as np
@@ -175,8 +176,23 @@ def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    return decode(encode(docs, tokenizer), tokenizer).select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """doc_id, n_tokens, ids_sha256, decoded_sha256.
+
+    Same rows as decode(encode(docs)), but ids and decoded bytes never leave the worker that made them.
+    """
+    sent = Sent(docs.sparkSession, tokenizer)
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counts, of_ids, of_decoded = [], [], []
+        for text in batch.column(1):
+            ids = sent.value.encode(text.as_py() or "")
+            counts.append(len(ids) // 4)
+            of_ids.append(hashlib.sha256(ids).hexdigest())
+            of_decoded.append(hashlib.sha256(sent.value.decode(ids)).hexdigest())
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_decoded, pa.string())],
+            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return map_batches(rows, make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -155,6 +155,10 @@ def test_bpe_against_a_library(spark):
     for i, text in enumerate(["", *texts]):
         assert np.frombuffer(found[i].ids, "<u4").tolist() == library.encode_ordinary(text)
         assert found[i].decoded.decode() == text
+    for r in bpe.round_trip(table, tokenizer).collect():
+        ids = library.encode_ordinary(["", *texts][r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(["", *texts][r.doc_id].encode()).hexdigest()
 
 
 def test_language_id_on_held_out_rows_and_odd_texts(spark):
