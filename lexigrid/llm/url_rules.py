@@ -13,6 +13,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import scratch, stage
+
 LABEL = "label="
 
 
@@ -58,10 +60,8 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     )
 
 
-def mine(
-    labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8, max_rules: int = 5000
-) -> list[dict]:
-    """Rules {tokens, label, confidence, support} from `labelled` (tokens, label), the best `max_rules`.
+def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8) -> list[dict]:
+    """Rules {tokens, label, confidence, support} from `labelled` (tokens, label), all that are not redundant.
 
     A rule is dropped if a part of its tokens implies the same label with as much confidence.
     Without labelled rows there are none.
@@ -73,25 +73,32 @@ def mine(
         return []
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     consequent = F.element_at("consequent", 1)
-    found = (
-        model.associationRules.where(consequent.startswith(LABEL))
-        .select(
-            F.sort_array("antecedent").alias("tokens"), F.substring(consequent, len(LABEL) + 1, 1000).alias("label"),
-            "confidence", "support",
-        )
-        .orderBy(F.desc("confidence"), F.desc("support"), F.size("tokens"), "tokens", "label")
-        .limit(max_rules)
-        .collect()
+    found = model.associationRules.where(consequent.startswith(LABEL)).select(
+        F.sort_array("antecedent").alias("tokens"), F.expr(f"substring(consequent[0], {len(LABEL) + 1})").alias("label"),
+        "confidence", "support",
     )
-    kept: list[dict] = []
-    sets: list[tuple[frozenset, str, float]] = []
-    for r in sorted(found, key=lambda r: (len(r["tokens"]), -r["confidence"], -r["support"], r["tokens"], r["label"])):
-        own = frozenset(r["tokens"])
-        if any(label == r["label"] and part < own and confidence >= r["confidence"] for part, label, confidence in sets):
-            continue
-        sets.append((own, r["label"], r["confidence"]))
-        kept.append(r.asDict())
-    return kept
+    kept = without_redundant(stage(found, scratch(labelled.sparkSession, "rules"))).collect()
+    return [r.asDict() for r in sorted(kept, key=lambda r: (len(r["tokens"]), -r["confidence"], -r["support"], r["tokens"], r["label"]))]
+
+
+def without_redundant(rules: DataFrame) -> DataFrame:
+    """The rules of which no proper part implies the same label with as much confidence.
+
+    Any such part is frequent and sure enough to be a rule itself. Most rules go by a part that
+    lacks one token; all parts are made of the others only.
+    """
+    known = rules.select(F.col("tokens").alias("part"), "label", F.col("confidence").alias("of_part"))
+
+    def left(some: DataFrame, parts: DataFrame) -> DataFrame:
+        worse = parts.join(known, ["part", "label"]).where(F.col("of_part") >= F.col("confidence"))
+        return some.join(worse.select("tokens", "label").distinct(), ["tokens", "label"], "left_anti")
+
+    without = F.explode(F.transform("tokens", lambda t: F.array_remove("tokens", t)))
+    some = left(rules, rules.where(F.size("tokens") > 1).select("tokens", "label", "confidence", without.alias("part")))
+    some = stage(some, scratch(rules.sparkSession, "rules-left"))
+    masks = some.where(F.size("tokens") > 2).select("*", F.expr("explode(sequence(1L, shiftleft(1L, size(tokens)) - 2))").alias("mask"))
+    part = F.expr("filter(tokens, (t, i) -> (shiftright(mask, i) & 1) = 1)")
+    return left(some, masks.select("tokens", "label", "confidence", part.alias("part")))
 
 
 def implied_label(own: Column, rules: list[dict]) -> Column:
