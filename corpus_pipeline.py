@@ -18,13 +18,16 @@ from lexigrid.llm.shared import read, scratch, stage
 
 # A text in none of the learned languages has a cosine near 0 with all of them (its spread is 1/32).
 LEAST_SCORE = 0.05
+# So has a text of a few n-grams in a learned one; with so many distinct ones the least cosine on sf0.1 is 0.29.
+LEAST_GRAMS = 64
 
 
 def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents without a letter, or like none of the languages learned, go."""
+    """Documents without a letter, or long enough to judge and like none of the languages learned, go."""
     space = lang_id.Space()
     found = lang_id.identify(docs, space, lang_id.learn(docs, space))
-    return found.where((F.col("_llm_lang") != "und") & (F.col("_llm_score") >= LEAST_SCORE)).select(*docs.columns)
+    fits = (F.col("_llm_score") >= LEAST_SCORE) | (F.col("_llm_grams") < LEAST_GRAMS)
+    return found.where((F.col("_llm_lang") != "und") & fits).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -76,7 +76,10 @@ class Space:
 
     def vector(self, text: str) -> np.ndarray | None:
         """The sum of a text's n-gram vectors, None if it has no letter."""
-        codes, counts = self.codes(text)
+        return self.summed(*self.codes(text))
+
+    def summed(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray | None:
+        """The sum of the vectors of so many n-grams, None if there are none."""
         if not len(codes):
             return None
         at = np.fromiter((self.rows.get(c, -1) for c in codes.tolist()), np.int64, len(codes))
@@ -132,7 +135,7 @@ def learn(docs: DataFrame, space: Space, per_language: int = 4000) -> dict[str,
 
 
 def identify(docs: DataFrame, space: Space, prototypes: dict[str, np.ndarray]) -> DataFrame:
-    """All rows of `docs` with `_llm_lang` and `_llm_score`.
+    """All rows of `docs` with `_llm_lang`, `_llm_score` and `_llm_grams`, the number of distinct n-grams.
 
     A text that is null or has no letter gets `und` and score 0, as does every text if there is no
     prototype. The score is the cosine with the prototype (0 if negative). Ties go to the first language by
@@ -143,14 +146,17 @@ def identify(docs: DataFrame, space: Space, prototypes: dict[str, np.ndarray]) -
     matrix = np.array([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-9) for n in names], np.float32)
     sent = Sent(docs.sparkSession, (space, names, matrix))
     at = docs.columns.index("text")
-    schema = type(docs.schema)(list(docs.schema.fields)).add("_llm_lang", "string").add("_llm_score", "double")
+    schema = type(docs.schema)(list(docs.schema.fields))
+    schema = schema.add("_llm_lang", "string").add("_llm_score", "double").add("_llm_grams", "long")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, names, matrix = sent.value
         for batch in slices(batches):
-            found, scores = [], []
+            found, scores, grams = [], [], []
             for text in batch.column(at).to_pylist():
-                vector = space.vector(text or "") if names else None
+                codes, counts = space.codes(text or "")
+                grams.append(len(codes))
+                vector = space.summed(codes, counts) if names else None
                 norm = 0.0 if vector is None else float(np.linalg.norm(vector))
                 if not norm:
                     found.append("und"), scores.append(0.0)
@@ -160,6 +166,6 @@ def identify(docs: DataFrame, space: Space, prototypes: dict[str, np.ndarray]) -
                 found.append(names[best]), scores.append(min(1.0, max(0.0, float(cosines[best]))))
             yield batch.append_column("_llm_lang", pa.array(found, pa.string())).append_column(
                 "_llm_score", pa.array(scores, pa.float64())
-            )
+            ).append_column("_llm_grams", pa.array(grams, pa.int64()))
 
     return docs.mapInArrow(make, schema)
