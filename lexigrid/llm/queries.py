@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from . import bpe, lang_id
 from .decontaminate import Decontamination
 from .exact_dedup import Dedup
+from .hard_negatives import HardNegatives, finite, quantised
 from .jaccard_join import JaccardJoin
 from .line_dedup import LineDedup
+from .mixing import Mixture
 from .pii import KINDS, PersonalData, listed, of_kind
+from .prefix_trie import PrefixTrie, digests, turn_items
 from .quality import Quality
-from .shared import held_out, read
+from .shared import held_out, read, scratch, stage
 from .sharding import assign_shards
 from .url_rules import judge
 
@@ -107,9 +110,47 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mix = Mixture(read(spark, folder, "documents").select("doc_id", "text", "source"), weights=(5, 2, 1), percent=150, most=2)
+    return mix.plan().select("doc_id", "size", "source_size", "target", "taken")
+
+
+def rebuilt(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and members: each conversation c with the first h turns of conversation c - c % 100 for its own first h."""
+    h, base = F.crc32(F.col("conv_id").cast("string")) % 6, F.col("conv_id") - F.col("conv_id") % 100
+    members = items.select("conv_id").distinct().select("conv_id", base.alias("base"), h.alias("h"))
+    starts = items.where("conv_id % 100 = 0 AND pos <= 5")
+    lent = members.join(starts.withColumnRenamed("conv_id", "base"), "base").where("pos <= h")
+    held = starts.groupBy(F.col("conv_id").alias("base")).agg(F.count(F.lit(1)).alias("n"))
+    own = items.withColumns({"base": base, "h": h}).where("pos > h").join(held, "base", "left")
+    placed = F.col("pos") - F.col("h") + F.least("h", F.coalesce("n", F.lit(0)))
+    turns = lent.select("conv_id", "pos", "item", "weight").unionByName(own.select("conv_id", placed.alias("pos"), "item", "weight"))
+    return turns, members.select("conv_id")
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    items = turn_items(read(spark, folder, "conversations"))
+    trie = PrefixTrie(*rebuilt(stage(items, scratch(spark, "placed"))))
+    nobody = F.sha2(F.lit(""), 256)
+    return trie.nodes().join(digests(trie.ends()), "node", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"),
+        F.coalesce("digest", nobody).alias("ends_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows, vec_id, label = read(spark, folder, "embeddings"), F.col("vec_id"), F.col("label")
+    rows = rows.where(label.isNotNull() & finite(F.col("embedding"))).select(
+        vec_id.alias("id"), F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        quantised(F.col("embedding"), 256).alias("vector"), (vec_id % 100 == 0).alias("anchor"),
+    )
+    return HardNegatives(rows, positives=5, negatives=10, low=30, high=90).found
+
+
 def build() -> dict[str, Query]:
     named = [
         op1_exact_dedup, op2_line_dedup, op3_sharding, op4_quality, op5_pii, op6_decontamination,
         op7_jaccard_join, op8_url_rules, op9_bpe, op10_language_id,
+        op11_mixing, op12_prefix_trie, op13_hard_negatives,
     ]
     return {query.__name__: query for query in named}
