@@ -94,7 +94,8 @@ def cap(cosine: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def candidates(bucket: Bucket, anchors: Anchors, which: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (place in `which`, row of the bucket) whose score may be from `least` to `most` (each an array over `which`)."""
     lengths, n = anchors.lengths[which], len(bucket.ids)
-    empty, least, most = least > most, least.astype(float), most.astype(float)
+    # The ends of 64 bits stand for all that lies beyond.
+    empty, least, most = least > most, np.where(least > LEAST, least, -np.inf), np.where(most < MOST, most, np.inf)
     reach = lengths * bucket.longest
     alive = np.flatnonzero((least <= reach * (1 + SLACK)) & (most >= -reach * (1 + SLACK)) & ~empty)
     if not len(alive):

@@ -105,10 +105,10 @@ class Mixture:
 
         A document taken in part ends after its last word that counts.
         """
-        taken = self.plan().where("taken > 0").select(F.col("row").alias("_llm_row"), "epochs", "part")
-        copies = F.sequence(F.lit(0), (F.col("epochs") - F.when(F.col("part") == 0, 1).otherwise(0)).cast("int"))
+        taken = self.plan().where("taken > 0").select(F.col("row").alias("_llm_row"), F.col("epochs").alias("_llm_epochs"), F.col("part").alias("_llm_part"), F.col("size").alias("_llm_size"))
+        copies = F.sequence(F.lit(0), (F.col("_llm_epochs") - F.when(F.col("_llm_part") == 0, 1).otherwise(0)).cast("int"))
         each = self.docs.join(taken, "_llm_row").withColumn("_llm_epoch", F.explode(copies))
         words = F.regexp_extract_all(F.col("text").cast("string"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-        cut = F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), "")
-        ends = F.col("_llm_epoch") == F.col("epochs")
+        cut = F.array_join(F.slice(words, F.lit(1), F.col("_llm_part").cast("int")), "")
+        ends = (F.col("_llm_epoch") == F.col("_llm_epochs")) & (F.col("_llm_part") < F.col("_llm_size"))
         return each.withColumn("text", F.when(ends, cut).otherwise(F.col("text"))).select(*self.names, "_llm_epoch")

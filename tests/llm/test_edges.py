@@ -107,7 +107,7 @@ def test_decontamination(spark):
         assert {r.doc_id: r.text for r in job.without_spans().collect()}[2] == "so  it is"
 
 
-def brute_groups(texts):
+def brute_groups(texts, percent=80):
     def grams(t):
         words = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
         return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
@@ -115,7 +115,7 @@ def brute_groups(texts):
     sets, label = [grams(t) for t in texts], list(range(len(texts)))
     for i, j in itertools.combinations(range(len(texts)), 2):
         both = len(sets[i] & sets[j])
-        if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+        if both and 100 * both >= percent * len(sets[i] | sets[j]):
             a, b = sorted((label[i], label[j]))
             label = [a if x == b else x for x in label]
     return {i: (len(s), x) for i, (s, x) in enumerate(zip(sets, label, strict=True))}

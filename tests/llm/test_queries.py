@@ -14,7 +14,7 @@ QUERIES = queries.build()
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in "documents pages benchmark labels".split():
+    for table in "documents pages benchmark labels conversations embeddings".split():
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     return connection
 
@@ -24,8 +24,9 @@ def test_rows(spark, duck, name):
     found = QUERIES[name](spark, FOLDER)
     columns = sorted(found.columns)
     mine = sorted(map(tuple, found.select(columns).collect()), key=repr)
-    table = "pages" if name.startswith("op8") else "documents"
-    assert len(mine) == duck.execute(f"SELECT count(*) FROM {table}").fetchone()[0]
+    if name not in ("op12_prefix_trie", "op13_hard_negatives"):  # the others have a row for each of their table
+        table = "pages" if name.startswith("op8") else "documents"
+        assert len(mine) == duck.execute(f"SELECT count(*) FROM {table}").fetchone()[0]
     if sql := oracle.build().get(name):
         theirs = duck.execute(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall()
         assert mine == sorted(map(tuple, theirs), key=repr)
