@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import scratch, stage
+from .shared import release, scratch, stage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes: every node ties its larger neighbours to its least
     one, then its smaller neighbours and itself. Paths shrink by half each time and the number of edges
     does not grow. Neighbours of a node are never gathered; a node's minimum is a sum of partial
-    ones, and each round is written, so that no lineage builds up.
+    ones, and each round is written in place of the one before, so that no lineage builds up.
     """
     spark = edges.sparkSession
     work = scratch(spark, "components")
@@ -37,6 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("x"))
         e = stage(small.select("x.u", F.col("x.m").alias("v")).where("u <> v").distinct(), f"{work}/{turn}")
         now = signature(e)
+        release(spark, f"{work}/{turn - 1}")
         if now == before:
             break
         before = now

@@ -9,12 +9,16 @@ least node are compared; nodes that turn out linked form components, and then on
 components are left. So a group of similar documents costs about its size, not its square, and
 no link between different components is missed.
 
+Nodes of a long list whose components differ meet by a second common n-gram and by size, so that a list of
+unlike nodes doesn't cost its square either.
+
 Before its overlap is counted a pair must pass the parities of its sets: bit i tells whether an odd number
 of n-grams hashes to i, so two sets differ in as many n-grams as their parities do in bits, at least.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import MaybeIn, Sent, map_batches, scratch, slices, stage, texts
+from .shared import MaybeIn, Sent, map_batches, release, scratch, slices, stage, texts
 
 FACTOR = 0x9E3779B97F4A7C15
 PARITY_BITS, WIDE_BITS = 512, 4096
@@ -52,6 +56,32 @@ def node_of(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
+def halves(nodes: list[bytes]) -> np.ndarray:
+    """The two halves of 128-bit hashes."""
+    return np.frombuffer(b"".join(nodes), "<i8").reshape(-1, 2)
+
+
+def short_ids(nodes: list[bytes], turn: int) -> np.ndarray:
+    """64 bits of 128-bit hashes: one half, and the other turned by `turn` bits."""
+    one, two = halves(nodes).view(np.uint64).T
+    turned = (two << np.uint64(turn)) | (two >> np.uint64(64 - turn)) if turn else two
+    return (one ^ turned).view(np.int64)
+
+
+def short_id(one: Column, two: Column, turn: int) -> Column:
+    """`short_ids` in Spark."""
+    turned = F.shiftleft(two, turn).bitwiseOR(F.shiftrightunsigned(two, 64 - turn)) if turn else two
+    return one.bitwiseXOR(turned)
+
+
+def unique_turn(hashes: DataFrame) -> int:
+    """The first turn with which all of `hashes` (one, two; distinct) have short ids of their own."""
+    for turn in range(64):
+        if hashes.groupBy(short_id(F.col("one"), F.col("two"), turn)).count().where("count > 1").isEmpty():
+            return turn
+    raise ValueError("no short ids are unique")  # not to be expected: 64 tries on hashes of 128 bits
+
+
 def parity_of(found: np.ndarray, bits: int) -> list[int]:
     odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
@@ -108,45 +138,58 @@ class JaccardJoin:
     distinct n-grams of `size` words; with fewer words, the whole sequence as one; null, empty and
     blank texts have empty sets, which are linked with nothing. Equal sets are linked. Repeated rows are
     documents like any others; null doc_ids are never the smallest of a component unless there
-    is no other. An empty table gives no rows. Other columns play no part. N-grams are compared by 64-bit
-    and sets by 128-bit hashes.
+    is no other. An empty table gives no rows. Very long texts are sets like any others, held one at a time. Other
+    columns play no part. N-grams are compared by 64-bit and sets by 128-bit hashes; sets travel as 64 bits of theirs, chosen
+    so that no two share them.
     """
 
-    def __init__(self, docs: DataFrame, size: int = 5, percent: int = 80, bucket_log: int = 18, fragments: int = 8):
-        self.docs, self.size, self.percent = docs, size, percent
+    def __init__(
+        self, docs: DataFrame, size: int = 5, percent: int = 80, bucket_log: int = 18, fragments: int = 8, long_list: int = 64
+    ):
+        self.docs, self.size, self.percent, self.long_list = docs, size, percent, long_list
         self.spark, self.bucket_log = docs.sparkSession, bucket_log
         self.work = scratch(self.spark, "jaccard")
         profiled = stage(self._profiled(), f"{self.work}/profiled")
-        self.documents = profiled.where("chunk IS NULL").select("doc_id", "n", "node", "parity")
         counts = np.zeros(1 << bucket_log, np.int64)
-        parts = profiled.where("chunk IS NOT NULL").select("chunk", F.col("n").alias("salt"), F.col("node").alias("counts"))
+        parts = profiled.where("chunk IS NOT NULL").select("chunk", F.col("n").alias("salt"), "counts")
         for chunk, own in added_up(parts).collect():  # one row a chunk, 2 MiB in all
             own = np.frombuffer(own, np.int64)
             counts[chunk * len(own) : (chunk + 1) * len(own)] = own
         self.order = Sent(self.spark, Order(counts, fragments))
-        self.nodes = self.documents.where("n > 0").groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.first("parity").alias("parity")
-        )
-        self.nodes = stage(self.nodes, f"{self.work}/nodes")
-        self.listed = stage(self._listed(), f"{self.work}/listed")
+        profiled = profiled.where("chunk IS NULL")
+        hashed = profiled.where("n > 0").groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"), F.first("parity").alias("parity"))
+        hashed = stage(hashed, f"{self.work}/hashed")
+        self.turn = unique_turn(hashed.select("one", "two"))
+        node = short_id(F.col("one"), F.col("two"), self.turn).alias("node")
+        self.documents = stage(profiled.select("doc_id", "n", node), f"{self.work}/documents")
+        self.nodes = hashed.select(node, "doc_id", "parity")
+        release(self.spark, f"{self.work}/profiled")
+        entries = stage(self._listed(), f"{self.work}/listed")
+        self.listed = entries.where(F.col("pos") < self._first(F.col("n")))
         first = self._star_pairs()
         self.labels = stage(components(self._similar(first, "first")), f"{self.work}/labels-first")
         mixed = self._mixed(self.listed.drop("least"), "first")
         second = self._pairs_to_largest(mixed, first)
         self._add_links(second, "second")
-        mixed = self._mixed(mixed.select("gram", "node", "n", "pos"), "second")
-        self._add_links(self._pairs_left(mixed, first.unionByName(second)), "left")
+        left = self._mixed(mixed.select("gram", "node", "n", "pos"), "second")
+        release(self.spark, f"{self.work}/mixed-first")
+        self._add_links(self._pairs_left(left, entries, first.unionByName(second)), "left")
+        release(self.spark, *(f"{self.work}/{name}" for name in ("listed", "pairs-first", "pairs-second", "pairs-left", "mixed-second", "labels-first", "labels-second")))
+
+    def _first(self, n: Column) -> Column:
+        """How many n-grams of a set of n are listed: similar sets have one in common among these, and two among one more."""
+        return n - F.ceil(n.cast("long") * self.percent / 100).cast("int") + 1
 
     def _profiled(self) -> DataFrame:
-        """Of each document doc_id, n (set size) and node (set hash); of each task its bucket counts.
+        """Of each document doc_id, n (set size), one and two (set hash) and parity; of each task its bucket counts.
 
-        The counts come in chunks: chunk, n (a salt from 0 to 63) and node (packed integers).
+        The counts come in chunks: chunk, n (a salt from 0 to 63) and counts (packed integers).
         """
         size, log = self.size, self.bucket_log
         chunk_log = max(0, log - 10)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts, names = np.zeros(1 << log, np.int64), ["doc_id", "n", "node", "chunk", "parity"]
+            counts, names = np.zeros(1 << log, np.int64), ["doc_id", "n", "one", "two", "parity", "chunk", "counts"]
             parity = pa.struct([("narrow", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
             salt = 0
             for batch in slices(batches):
@@ -156,32 +199,37 @@ class JaccardJoin:
                 all_found = np.concatenate(sets)
                 counts += np.bincount((all_found >> np.uint64(64 - log)).astype(np.int64), minlength=1 << log)
                 salt = (salt + int(all_found[0] if len(all_found) else 0)) % 64
-                n, nodes = [len(s) for s in sets], [node_of(s) for s in sets]
-                arrays = [batch.column(0), pa.array(n, pa.int32()), pa.array(nodes, pa.binary()), pa.nulls(len(n), pa.int32()), pa.array([parities_of(s) for s in sets], parity)]
+                n, nodes = [len(s) for s in sets], halves([node_of(s) for s in sets])
+                arrays = [
+                    batch.column(0), pa.array(n, pa.int32()), pa.array(nodes[:, 0]), pa.array(nodes[:, 1]),
+                    pa.array([parities_of(s) for s in sets], parity), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary()),
+                ]
                 yield pa.RecordBatch.from_arrays(arrays, names)
             if counts.any():
                 rows = counts.reshape(1 << chunk_log, -1)
+                unknown = pa.nulls(len(rows), pa.int64())
                 arrays = [
-                    pa.nulls(len(rows), pa.int64()), pa.array([salt] * len(rows), pa.int32()),
-                    pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(range(len(rows)), pa.int32()),
-                    pa.nulls(len(rows), parity),
+                    unknown, pa.array([salt] * len(rows), pa.int32()), unknown, unknown, pa.nulls(len(rows), parity),
+                    pa.array(range(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
         rows = self.docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        return rows.mapInArrow(run, "doc_id long, n int, node binary, chunk int, parity struct<narrow: array<long>, wide: array<long>>")
+        schema = "doc_id long, n int, one long, two long, parity struct<narrow: array<long>, wide: array<long>>, chunk int, counts binary"
+        return rows.mapInArrow(run, schema)
 
     def _listed(self) -> DataFrame:
-        """gram, node, n, pos: the first n-grams of each set, where different nodes share one.
+        """gram, node, n, pos: the first n-grams of each set and one more, where different nodes share one.
 
-        least is the least node of the list with its n and pos; null for that node itself.
+        least is the least node of the list with its n and pos; null for that node itself. It is among the
+        first n-grams of its own set. What is shuffled of an entry is four numbers.
         """
-        size, percent, sent = self.size, self.percent, self.order
+        size, percent, sent, turn = self.size, self.percent, self.order, self.turn
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order, seen = sent.value, set()  # of a task's own documents
             for batch in slices(batches):
-                grams, nodes, ns, places, parts = [], [], [], [], []
+                grams, nodes, places, parts = [], [], [], []
                 for text in texts(batch.column(0)):
                     found = shingles(text, size)
                     node = node_of(found)
@@ -189,35 +237,36 @@ class JaccardJoin:
                         continue
                     seen.add(node)
                     n = len(found)
-                    first = n - -(-percent * n // 100) + 1
+                    first = min(n, n - -(-percent * n // 100) + 2)
                     found, bucket = order.sorted(found)
                     grams.append(found[:first].view(np.int64))
                     dealt = order.parts[bucket[:first]]  # -1: not dealt in parts
                     parts.append(np.where(dealt > 1, int.from_bytes(node[:4]) % dealt, -1))
-                    nodes += [node] * first
-                    ns += [n] * first
-                    places.append(np.arange(first, dtype=np.int32))
+                    nodes.append(np.repeat(short_ids([node], turn), first))
+                    places.append(n << 32 | np.arange(first, dtype=np.int64))
                 if nodes:
-                    arrays = [
-                        pa.array(np.concatenate(grams)), pa.array(np.concatenate(parts).astype(np.int32)),
-                        pa.array(nodes, pa.binary()), pa.array(ns, pa.int32()), pa.array(np.concatenate(places)),
-                    ]
-                    yield pa.RecordBatch.from_arrays(arrays, ["gram", "part", "node", "n", "pos"])
+                    arrays = [pa.array(np.concatenate(x)) for x in (parts, grams, nodes, places)]
+                    yield pa.RecordBatch.from_arrays(arrays, ["part", "gram", "node", "place"])
 
         rows = self.docs.select(F.col("text").cast("string"))
-        entries = rows.mapInArrow(run, "gram long, part int, node binary, n int, pos int")
-        # Copies of a node from several tasks follow each other; the first node of a list is its least.
-        one = Window.partitionBy("gram", "part").orderBy("node")
+        entries = rows.mapInArrow(run, "part long, gram long, node long, place long")
+        n, pos = F.shiftright("place", 32).cast("int"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
+        # Copies of a node from several tasks follow each other; nodes that are there by their one n-gram more come
+        # last, and the first of the others is the list's least.
+        one = Window.partitionBy("gram", "part").orderBy("extra", "node")
         whole = one.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        entries = entries.withColumns({
-            "before": F.lag("node").over(one), "least": F.first(F.struct("node", "n", "pos")).over(whole),
+        entries = entries.withColumn("extra", pos >= self._first(n)).withColumns({
+            "before": F.lag("node").over(one), "least": F.first(F.struct("node", "place", "extra")).over(whole),
             "high": F.last("node").over(whole),
         })
         # An n-gram dealt in parts may have one node in a part and others elsewhere.
         entries = entries.where("(least.node <> high OR part >= 0) AND (before IS NULL OR before <> node)")
-        return entries.select(
-            "gram", "node", "n", "pos", F.when(F.col("node") != F.col("least.node"), F.col("least")).alias("least")
+        own = F.col("least.place")
+        least = F.struct(
+            F.col("least.node").alias("node"), F.shiftright(own, 32).cast("int").alias("n"), own.bitwiseAND(0xFFFFFFFF).cast("int").alias("pos")
         )
+        met = (F.col("node") != F.col("least.node")) & ~F.col("extra") & ~F.col("least.extra")
+        return entries.select("gram", "node", n.alias("n"), pos.alias("pos"), F.when(met, least).alias("least"))
 
     def _may_link(self, n1: Column, pos1: Column, n2: Column, pos2: Column) -> Column:
         """Whether sets whose first common n-gram stands at these positions can overlap enough."""
@@ -296,30 +345,50 @@ class JaccardJoin:
         pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         return stage(self._checked(pairs), f"{self.work}/pairs-{name}")
 
-    def _pairs_left(self, mixed: DataFrame, done: DataFrame) -> DataFrame:
-        """a < b: listed nodes of different components, but those compared already."""
-        x = mixed.where("label <> most").select(
-            "gram", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("label").alias("la"),
-            F.col("parity").alias("sa"),
-        )
-        y = mixed.select(
-            "gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("label").alias("lb"), "most",
-            F.col("parity").alias("sb"),
-        )
-        # Two that are both outside the list's largest component meet twice; one of them counts.
-        met = x.join(y, "gram").where(
-            (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("most")) | (F.col("a") < F.col("b")))
+    def _pairs_left(self, mixed: DataFrame, entries: DataFrame, done: DataFrame) -> DataFrame:
+        """a < b: listed nodes of different components, but those compared already.
+
+        Nodes of a long list meet by their second common n-gram as well, and by size: similar sets have two n-grams in common
+        among the first few and one more of each, and the smaller has `percent` percent of the larger one's size. So many
+        unlike nodes that share an n-gram don't all meet.
+        """
+        names = ["gram", "node", "n", "pos", "label", "most", "parity"]
+        # Up to 50 percent, sets with one n-gram in common can be similar.
+        long_list = self.long_list if self.percent > 50 else 1 << 62
+        short = mixed.where(F.col("members") < long_list).select(*names)
+        met = self._met(short, short, ["gram"])
+        more = entries.select("node", F.col("gram").alias("second"), F.col("pos").alias("pos2"))
+        long = mixed.where(F.col("members") >= long_list).select(*names).join(more, "node").where("pos2 > pos")
+        step = math.log(100 / self.percent + 1e-9) if self.percent < 100 else 1.0
+        size = F.floor(F.log(F.col("n")) / step).cast("int")
+        # Sizes that may fit are in one step or in neighbouring ones: the larger set goes to both.
+        lower = long.withColumns({"step": size, "own": size})
+        upper = long.withColumn("own", size).withColumn("step", F.explode(F.array("own", F.col("own") - 1)))
+        met = met.unionByName(self._met(lower, upper, ["gram", "second", "step"]))
+        return self._new_pairs(met, (F.col("a"), F.col("na")), (F.col("b"), F.col("nb")), done, "left")
+
+    def _met(self, ones: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+        """a, na, b, nb: nodes with equal keys, of different components and not both in the list's largest one, that may be similar."""
+        named = {"node": "a", "n": "na", "pos": "pa", "label": "la", "parity": "sa"}
+        other = {"node": "b", "n": "nb", "pos": "pb", "label": "lb", "parity": "sb"}
+        x, y = ones.withColumnsRenamed(named).drop("most", "pos2", "own"), others.withColumnsRenamed(other).drop("pos2")
+        # Two of one table meet twice, and one of them counts; two sizes of neighbouring steps meet once.
+        twice = F.col("a") < F.col("b")
+        if "step" in keys:
+            twice = twice | (F.col("own") != F.col("step"))
+        met = x.join(y, keys).where(
+            twice & (F.col("la") != F.col("lb")) & ((F.col("la") != F.col("most")) | (F.col("lb") != F.col("most")))
             & self._may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"))
             & self._parities_allow(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"))
         )
-        return self._new_pairs(met, (F.col("a"), F.col("na")), (F.col("b"), F.col("nb")), done, "left")
+        return met.select("a", "na", "b", "nb")
 
     def _segments(self, needed: DataFrame, name: str) -> DataFrame:
         """node, fragment, grams of the needed nodes, each from one of its documents."""
         ids = needed.join(self.nodes, "node")
         key = F.unhex(F.lpad(F.hex(F.xxhash64("doc_id")), 16, "0"))
         maybe = Sent(self.spark, MaybeIn(stage(ids.select(key.alias("key")), f"{self.work}/keys-{name}"), "key"))
-        size, sent = self.size, self.order
+        size, sent, turn = self.size, self.order, self.turn
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order, maybe_in, seen = sent.value, maybe.value, set()
@@ -332,15 +401,15 @@ class JaccardJoin:
                     if not len(found) or node in seen:
                         continue
                     seen.add(node)
-                    of = order.fragment[(found >> order.shift).astype(np.int64)]
+                    of, short = order.fragment[(found >> order.shift).astype(np.int64)], int(short_ids([node], turn)[0])
                     for f in np.unique(of).tolist():
-                        nodes.append(node), fragments.append(f), grams.append(found[of == f].view(np.int64).tolist())
+                        nodes.append(short), fragments.append(f), grams.append(found[of == f].view(np.int64).tolist())
                 if nodes:
-                    arrays = [pa.array(nodes, pa.binary()), pa.array(fragments, pa.int32()), pa.array(grams, pa.list_(pa.int64()))]
+                    arrays = [pa.array(nodes, pa.int64()), pa.array(fragments, pa.int32()), pa.array(grams, pa.list_(pa.int64()))]
                     yield pa.RecordBatch.from_arrays(arrays, ["node", "fragment", "grams"])
 
         rows = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        found = rows.select(key, "text").mapInArrow(run, "node binary, fragment int, grams array<long>")
+        found = rows.select(key, "text").mapInArrow(run, "node long, fragment int, grams array<long>")
         return stage(found.join(needed, "node", "left_semi").dropDuplicates(["node", "fragment"]), f"{self.work}/segments-{name}")
 
     def _similar(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -354,17 +423,28 @@ class JaccardJoin:
         parts = met.select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("part"))
         summed = parts.groupBy("a", "b").agg(F.sum("part").alias("o"), F.first("na").alias("na"), F.first("nb").alias("nb"))
         links = summed.where(100 * F.col("o") >= self.percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
-        return stage(links, f"{self.work}/links-{name}")
+        links = stage(links, f"{self.work}/links-{name}")
+        release(self.spark, *(f"{self.work}/{table}-{name}" for table in ("needed", "keys", "segments")))
+        return links
 
     def kept_rows(self) -> DataFrame:
-        """The documents whose doc_id is their component's least, with all their columns.
+        """One document of each component, with all its columns: the least doc_id's (null is the largest).
 
-        All rows that share the kept doc_id and its set stay. Rows that are certainly kept are not shuffled.
+        Of rows that share this doc_id the one with the least node stays, and of equal nodes any one. Documents with
+        empty sets all stay. Rows that are certainly kept are not shuffled.
         """
-        key = F.unhex(F.lpad(F.hex(F.xxhash64(F.col("doc_id").cast("long"))), 16, "0"))
-        dropped = self._by_document().where("doc_id <> component_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
-        dropped = stage(dropped.select(key.alias("key"), "node").distinct(), scratch(self.spark, "dropped"))
-        maybe, size, names = Sent(self.spark, MaybeIn(dropped, "key")), self.size, self.docs.columns
+        own = F.xxhash64(F.col("doc_id").cast("long"))
+        key = F.unhex(F.lpad(F.hex(own), 16, "0"))
+        of_component = self.labels.join(self.nodes.select("node"), "node", "right").select("node", F.coalesce("label", "node").alias("label"))
+        grouped = self.documents.where("n > 0").join(stage(of_component, scratch(self.spark, "of-component")), "node")
+        grouped = grouped.select("doc_id", "node", "label")
+        order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node")
+        # Components of one row have nothing to lose; of the others all rows but one go.
+        large = grouped.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.min(order).alias("keeper")).where("rows > 1")
+        large = stage(large, scratch(self.spark, "large"))
+        judged = grouped.join(large, "label").select(key.alias("key"), "node", "label", "keeper")
+        judged = stage(judged.distinct(), scratch(self.spark, "judged"))
+        maybe, size, names, turn = Sent(self.spark, MaybeIn(judged, "key")), self.size, self.docs.columns, self.turn
         at, schema = names.index("text"), self.docs.schema
 
         def make(batch: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
@@ -373,14 +453,19 @@ class JaccardJoin:
             if not wanted:
                 return batch.select(names)
             nodes = [node_of(shingles(t, size)) for t in texts(batch.column(at))]
-            return batch.append_column("_llm_node", pa.array(nodes, pa.binary()))
+            return batch.append_column("_llm_node", pa.array(short_ids(nodes, turn) if nodes else [], pa.int64()))
 
         rows = self.docs.withColumn("_llm_key", key)
         sure = map_batches(rows, lambda batch: make(batch, False), schema)
-        wide = type(schema)(list(schema.fields)).add("_llm_key", "binary").add("_llm_node", "binary")
-        unsure = map_batches(rows, lambda batch: make(batch, True), wide)
-        gone = dropped.select(F.col("key").alias("_llm_key"), F.col("node").alias("_llm_node"))
-        return sure.unionByName(unsure.join(gone, ["_llm_key", "_llm_node"], "left_anti").select(*names))
+        wide = type(schema)(list(schema.fields)).add("_llm_key", "binary").add("_llm_node", "long")
+        unsure = map_batches(rows, lambda batch: make(batch, True), wide).withColumn("_llm_row", F.monotonically_increasing_id())
+        unsure = stage(unsure, scratch(self.spark, "unsure"))
+        own = unsure.select("_llm_row", F.col("doc_id").cast("long").alias("doc_id"), F.col("_llm_node").alias("node"))
+        own = own.join(judged.select("node", "label", "keeper").distinct(), "node")
+        keepers = own.where((F.col("node") == F.col("keeper.node")) & F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")))
+        stays = keepers.groupBy("label").agg(F.min("_llm_row").alias("_llm_row")).select("_llm_row")
+        gone = own.select("_llm_row").join(stays, "_llm_row", "left_anti")
+        return sure.unionByName(unsure.join(gone, "_llm_row", "left_anti").select(*names))
 
     def groups(self) -> DataFrame:
         """One row per document: doc_id, n_shingles, component_id (its component's least doc_id)."""

@@ -53,10 +53,30 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
-    """Writes `df` to a shared folder and reads it back: its lineage ends there."""
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes `df` to a shared folder and reads it back: its lineage ends there.
+
+    The shuffle files of this one job go when it has ended, not when the driver collects its garbage; until
+    then lost executors are made up for as ever, and afterwards the written table is all that is read.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Deletes staged tables that nothing will read any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def texts(column: pa.Array) -> list[bytes]:
