@@ -2,9 +2,10 @@
 
 Fixed patterns give the base spans, which always stay. A wider pattern gives candidates; regular
 expressions, gazetteers and the words in front of a candidate each vote for it, against it or not
-at all. Expectation-maximisation over the counts of vote patterns estimates how reliable each voter
-is; the resulting probabilities train the span classifier, a table of log odds for the
-candidate's own traits, and candidates it is sure of are added.
+at all. Numbers that look like nothing in particular (dates, orders, versions) are candidates too: they show what is no
+personal data. Expectation-maximisation over the counts of vote patterns estimates how reliable each voter
+is, starting from and held near what its votes are taken to mean; the resulting probabilities train the span
+classifier, a table of log odds for the candidate's own traits, and candidates it is sure of are added.
 
 A document's candidates stay in its row, so nothing is shuffled but the counts.
 """
@@ -18,6 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexigrid.functions.arrays import bind
+
 from .shared import scratch, stage
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -74,23 +77,36 @@ def found(text: str, pattern: str, guard: str) -> Column:
     """All matches of a pattern in the column `text`, leftmost first, without overlaps.
 
     start and end count code points, end exclusive; before and after hold up to 32 and 1
-    characters of context.
+    characters of context. Ends are running sums, made of whole arrays by doubling steps, so the work is n log n in the
+    number of matches.
     """
     p, g = (x.replace("\\", "\\\\").replace("'", "\\'") for x in (pattern, guard))
-    step = (
-        "named_struct('pos', a.pos + length(pieces[i]) + length(matches[i]), 'out', array_append(a.out, named_struct("
-        "'start', a.pos + length(pieces[i]), 'end', a.pos + length(pieces[i]) + length(matches[i]), "
-        "'match', matches[i], 'before', right(pieces[i], 32), 'after', left(pieces[i + 1], 1))))"
-    ).replace("pieces", "x.pieces").replace("matches", "x.matches")
+    sizes = "transform(x.matches, (m, i) -> length(x.pieces[i]) + length(m))"
+    added = "transform(a, (n, i) -> n + CASE WHEN i >= shiftleft(1, j) THEN a[i - shiftleft(1, j)] ELSE 0 END)"
+    ends = f"aggregate(sequence(0, cast(ceil(log2(greatest(size(x.matches), 1))) AS int)), {sizes}, (a, j) -> {added})"
+    span = (
+        "named_struct('start', e[i] - length(m), 'end', e[i], 'match', m, "
+        "'before', right(x.pieces[i], 32), 'after', left(x.pieces[i + 1], 1))"
+    )
     return F.expr(
         f"CASE WHEN {text} RLIKE '{g}' THEN transform(array(named_struct('matches', regexp_extract_all({text}, '{p}', 0), "
-        f"'pieces', split({text}, '{p}', -1))), x -> CASE WHEN size(x.matches) = 0 THEN cast(array() AS array<{SPAN}>) "
-        f"ELSE aggregate(sequence(0, size(x.matches) - 1), "
-        f"cast(named_struct('pos', 0, 'out', array()) AS struct<pos: int, out: array<{SPAN}>>), (a, i) -> {step}).out END)[0] "
+        f"'pieces', split({text}, '{p}', -1))), x -> transform(array({ends}), e -> transform(x.matches, (m, i) -> {span}))[0])[0] "
         f"ELSE cast(array() AS array<{SPAN}>) END"
     )
 
 
+def meets(spans: Column, c: Column) -> Column:
+    """Whether one of the spans, in order and apart from each other, overlaps c; found by halving."""
+    halvings = F.sequence(F.ceil(F.log2(F.size(spans) + 1)).cast("int"), F.lit(0), F.lit(-1))
+
+    def further(ended: Column, j: Column) -> Column:
+        to = ended + F.pow(F.lit(2), j).cast("int")
+        return F.when((to <= F.size(spans)) & (F.get(spans, to - 1)["end"] <= c["start"]), to).otherwise(ended)
+
+    ended = F.aggregate(halvings, F.lit(0), further)
+    return F.coalesce(F.get(spans, ended)["start"] < c["end"], F.lit(False))
+
+
 def digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
@@ -142,12 +158,12 @@ def placed(kind: Column | None = None) -> Callable[[Column], Column]:
 
 
 def number_kind(match: Column) -> Column:
-    """The kind a number-like candidate has by its shape, null if it has none."""
+    """The kind a number-like candidate is judged as: by its shape, phone if it has none."""
     n = F.length(digits(match))
     return (
         F.when(match.rlike(r"^[0-9]++(?:\.[0-9]++){3}$"), "ip")
         .when(n.between(13, 19) & match.rlike(r"^[0-9](?:[\x20-]?[0-9])++$"), "card")
-        .when(n.between(7, 15) & match.rlike(r"[().\x20-]"), "phone")
+        .otherwise("phone")
     )
 
 
@@ -169,14 +185,14 @@ def votes(kind: Column, c: Column) -> Column:
         ("email", match.rlike(r"^[^@\s]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++$")), ("ip", is_ip(match)),
         ("card", is_card(match)), ("phone", is_phone(match) & match.startswith("+")),
     )
-    bad = of(("ip", ~is_ip(match)), ("card", ~is_card(match)))
+    bad = of(("ip", ~is_ip(match)), ("card", ~is_card(match)), ("phone", ~F.length(n).between(7, 15)))
     form = of(
         ("phone", match.rlike(r"^(\+[0-9]{1,3}[\x20-]?)?(\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-]?[0-9]{3,4}$")),
         ("card", match.rlike(r"^[0-9]{4}([\x20-]?)[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}$")),
         ("email", match.rlike(r"^[A-Za-z]")),
         ("ip", match.rlike(r"^[1-9][0-9]{0,2}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}$")),
     )
-    dates = of(("phone", match.rlike(r"^(19|20)[0-9]{2}\D[0-9]{1,2}\D[0-9]{1,2}|^[0-9]{1,2}\D[0-9]{1,2}\D(19|20)[0-9]{2}$")))
+    other = of(("phone", match.rlike("^[0-9]+$") | match.rlike(r"^(19|20)[0-9]{2}\D[0-9]{1,2}\D[0-9]{1,2}|^[0-9]{1,2}\D[0-9]{1,2}\D(19|20)[0-9]{2}$")))
     top = F.lower(F.regexp_extract(match, r"[A-Za-z0-9-]+$", 0))
     code = F.regexp_extract(match, r"^\+([0-9]{1,2})", 1)
     listed = of(
@@ -186,7 +202,7 @@ def votes(kind: Column, c: Column) -> Column:
     unlisted = of(("ip", F.substring_index(match, ".", 1).isin(SPECIAL_NETS)), ("email", ~top.rlike("^[a-z]{2,}$")))
     context = of(*((k, before.rlike(w)) for k, w in CONTEXT.items()))
     return F.concat(
-        vote(strict, bad), vote(form, dates), vote(listed, unlisted), vote(context, before.rlike(AGAINST)),
+        vote(strict, bad), vote(form, other), vote(listed, unlisted), vote(context, before.rlike(AGAINST)),
     )
 
 
@@ -209,37 +225,75 @@ def traits(kind: Column, c: Column) -> Column:
     )
 
 
-def reliabilities(counts: dict[tuple[str, str], int], rounds: int = 25) -> dict[str, dict[str, float]]:
+# What votes are taken to mean before anything is known: how often personal data, and anything else, gets each one. The
+# first voter applies checks; how often data of a kind and other numbers pass them is known (one number in ten has a right
+# last digit by chance) and isn't estimated.
+MEANT = {"+": (0.55, 0.15), "0": (0.4, 0.4), "-": (0.05, 0.45)}
+CHECKED = {"+": (0.8, 0.1), "0": (0.195, 0.1), "-": (0.005, 0.8)}
+
+
+def reliabilities(counts: dict[tuple[str, str], int], rounds: int = 50, anchor: float = 0.2) -> dict[str, dict[str, float]]:
     """Probability of being personal data by kind and vote pattern, by expectation-maximisation.
 
-    `counts` has a row for each kind and pattern that occurs: 4 * 3**4 at most.
+    `counts` has a row for each kind and pattern that occurs: 4 * 3**4 at most. What votes are taken to mean weighs
+    as much as `anchor` times the candidates of the kind, at every size: so both classes keep their sense
+    even if one of them is nearly empty. What the check means stays as it is.
     """
     out: dict[str, dict[str, float]] = {}
     for kind in sorted({k for k, _ in counts}):
         rows = {v: n for (k, v), n in counts.items() if k == kind}
-        # The start: a majority of opinions, shrunk towards doubt.
-        p = {v: (v.count("+") + 0.5) / (v.count("+") + v.count("-") + 1) for v in rows}
+        meant = [CHECKED] + [MEANT] * (len(next(iter(rows))) - 1)
+        total = sum(rows.values())
+        held = anchor * total
+        prior, rates = 0.5, meant
         for _ in range(rounds):
-            total = sum(rows.values())
-            prior = (sum(n * p[v] for v, n in rows.items()) + 1) / (total + 2)
-            says = []  # of each voter: log of how much likelier each vote is for personal data
-            for voter in range(len(next(iter(rows)))):
-                yes = {c: 0.5 + sum(n * p[v] for v, n in rows.items() if v[voter] == c) for c in "+-0"}
-                no = {c: 0.5 + sum(n * (1 - p[v]) for v, n in rows.items() if v[voter] == c) for c in "+-0"}
-                # A voter is never believed to mean the opposite of what it says.
-                ratio = {c: math.log(yes[c] / sum(yes.values())) - math.log(no[c] / sum(no.values())) for c in "+-0"}
-                says.append({"+": max(ratio["+"], 0.0), "-": min(ratio["-"], 0.0), "0": 0.0})
-            odds = {v: math.log(prior / (1 - prior)) + sum(s[c] for s, c in zip(says, v, strict=True)) for v in rows}
-            p = {v: 1 / (1 + math.exp(-max(-30.0, min(30.0, x)))) for v, x in odds.items()}
+            p = {}
+            for v in rows:
+                odds = math.log(prior / (1 - prior)) + sum(math.log(r[c][0] / r[c][1]) for r, c in zip(rates, v, strict=True))
+                p[v] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
+            yes = sum(n * p[v] for v, n in rows.items())
+            prior = (held / 2 + yes) / (held + total)
+            rates = [
+                {
+                    c: (
+                        (held * of[c][0] + sum(n * p[v] for v, n in rows.items() if v[voter] == c)) / (held + yes),
+                        (held * of[c][1] + sum(n * (1 - p[v]) for v, n in rows.items() if v[voter] == c)) / (held + total - yes),
+                    )
+                    for c in of
+                }
+                if voter else of
+                for voter, of in enumerate(meant)
+            ]
         out[kind] = p
     return out
 
 
+def log_odds(sums: list[tuple[str, float, float]], weight: float = 2.0) -> dict[str, float]:
+    """Log odds of personal data by kind, and what each trait adds, from sums of beliefs (trait, yes, no).
+
+    A trait's share in either class starts as its share in both, with a weight of so many candidates: where a class
+    is nearly empty, traits say nothing.
+    """
+    totals: dict[str, list[float]] = {}
+    for trait, yes, no in sums:
+        if " digits=" in trait:
+            of = totals.setdefault(trait.split(" ")[0], [0.0, 0.0])
+            of[0] += yes
+            of[1] += no
+    odds = {k: math.log((yes + 1) / (no + 1)) for k, (yes, no) in totals.items()}
+    for trait, yes, no in sums:
+        all_yes, all_no = totals[trait.split(" ")[0]]
+        share = (yes + no) / (all_yes + all_no)
+        odds[trait] = math.log((yes + weight * share) / (all_yes + weight)) - math.log((no + weight * share) / (all_no + weight))
+    return odds
+
+
 class PersonalData:
     """Personal data in `docs` (doc_id, text, anything else).
 
     Null texts count as empty and have no spans. Rows are independent, so repeated rows have equal
-    results; an empty table gives none. Whole texts are searched. Other columns play no part.
+    results; an empty table gives none. Whole texts are searched, in n log n of their matches. Other columns play no
+    part. Candidates that are apart from the base spans are added where the classifier gives them `threshold` or more.
     """
 
     def __init__(self, docs: DataFrame, threshold: float = 0.9):
@@ -256,8 +310,8 @@ class PersonalData:
             )
 
         emails = F.transform("wide_email", lambda c: judged(F.lit("email"), c))
-        numbers = F.transform("wide_number", lambda c: judged(number_kind(c["match"]), c))
-        candidates = F.filter(F.concat(emails, numbers), lambda c: c["kind"].isNotNull())
+        numbers = F.transform("wide_number", lambda c: bind(number_kind(c["match"]), lambda kind: judged(kind, c)))
+        candidates = F.concat(emails, numbers)
         kept = F.concat(*(F.transform(k, placed(F.lit(k))) for k in KINDS))
         extracted = spans.select("doc_id", kept.alias("base"), candidates.alias("candidates"))
         self.extracted = stage(extracted, scratch(docs.sparkSession, "spans"))
@@ -271,16 +325,7 @@ class PersonalData:
         p = F.element_at(F.from_json(F.lit(json.dumps(known)), "map<string, double>"), F.concat_ws(" ", "c.kind", "c.votes"))
         weighed = each.select(F.explode("c.traits").alias("trait"), p.alias("p"))
         sums = weighed.groupBy("trait").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect()
-        totals: dict[str, list[float]] = {}
-        for trait, yes, no in sums:
-            if " digits=" in trait:
-                of = totals.setdefault(trait.split(" ")[0], [1.0, 1.0])
-                of[0] += yes
-                of[1] += no
-        self.odds = {k: math.log(yes / no) for k, (yes, no) in totals.items()}
-        for trait, yes, no in sums:
-            of = totals[trait.split(" ")[0]]
-            self.odds[trait] = math.log((yes + 0.5) / of[0]) - math.log((no + 0.5) / of[1])
+        self.odds = log_odds([tuple(r) for r in sums])
 
     def spans(self) -> DataFrame:
         """doc_id, base and spans (base and added): arrays of (kind, start, end) by kind, then start."""
@@ -288,17 +333,18 @@ class PersonalData:
         odds = F.from_json(F.lit(json.dumps(self.odds)), "map<string, double>")
 
         def sure(c: Column) -> Column:
-            total = F.aggregate(
+            return bar <= F.aggregate(
                 F.transform(c["traits"], lambda t: F.coalesce(F.element_at(odds, t), F.lit(0.0))),
                 F.coalesce(F.element_at(odds, c["kind"]), F.lit(0.0)), lambda a, x: a + x,
             )
-            apart = ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-            # The checks of the base patterns hold here too: a number that fails its own is none of its kind.
-            failed = F.exists(c["traits"], lambda t: t.isin("card checked=false", "ip checked=false"))
-            return (total >= bar) & apart & ~failed
+
+        def apart(c: Column, lists: Column) -> Column:
+            return ~F.exists(lists, lambda spans: meets(spans, c))
 
         span = "array<struct<kind: string, start: int, end: int>>"
-        added = F.transform(F.filter("candidates", sure), placed()).cast(span)
+        of_kinds = F.array(*(F.filter("base", of_kind(k)) for k in KINDS))
+        added = bind(of_kinds, lambda lists: F.filter("candidates", lambda c: sure(c) & apart(c, lists)))
+        added = F.transform(added, placed()).cast(span)
         return self.extracted.select(
             "doc_id", by_kind(F.col("base").cast(span)).alias("base"), by_kind(F.concat(F.col("base").cast(span), added)).alias("spans")
         )
