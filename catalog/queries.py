@@ -227,12 +227,11 @@ def frequencies(spark, folder):
 
 def doc_stripe_merged(spark, folder):
     """Encoded stripes of single lines, with broken parts added, merged by document."""
-    lines = document_lines(spark, folder)
-    by_line = lines.select(F.struct("doc_id", "line_no").alias("place"), "line")
-    partial = indexing.term_frequency(by_line, dictionary(spark, folder), doc_id="place")
-    encoded = indexing.encoded_stripes(indexing.document_stripes(partial))
+    terms = [r.term for r in dictionary(spark, folder).select("term").collect()]  # 100
+    partial = indexing.row_stripes(document_lines(spark, folder).select("doc_id", "line"), terms)
+    encoded = indexing.encoded_stripes(partial)
     broken = F.concat("stripe", F.lit("|x|y:z||:|term:1.5"))
-    return indexing.merge_encoded_stripes(encoded.select("doc_id.doc_id", broken.alias("stripe")))
+    return indexing.merge_encoded_stripes(encoded.select("doc_id", broken.alias("stripe")))
 
 
 def rounded(scores: DataFrame) -> DataFrame:

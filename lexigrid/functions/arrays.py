@@ -40,3 +40,19 @@ def count_equal(items: Column) -> Column:
         return bind(starts, run)
 
     return bind(F.sort_array(items), runs)
+
+
+def run_slices(ordered: Column, field: str) -> Column:
+    """An array of structs, in order of a field, as one array for each value of it; one pass."""
+
+    def key(i: Column) -> Column:
+        return F.get(ordered, i)[field]
+
+    starts = F.filter(F.transform(ordered, lambda x, i: i), lambda i: (i == 0) | (key(i) != key(i - 1)))
+
+    def sliced(begins: Column) -> Column:
+        return F.transform(
+            begins, lambda start, k: F.slice(ordered, start + 1, F.coalesce(F.get(begins, k + 1), F.size(ordered)) - start)
+        )
+
+    return bind(starts, sliced)

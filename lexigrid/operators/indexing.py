@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexigrid.functions.arrays import count_equal
+from lexigrid.functions.arrays import bind, count_equal, run_slices
 from lexigrid.functions.porter import stem_word, stem_words
 from lexigrid.functions.words import is_countable_token, words
 from lexigrid.operators.wordcount import without_stopwords
@@ -56,15 +56,20 @@ def distinct_terms(
 def _document_terms(rows: DataFrame, stopwords: DataFrame | None, stemmed: bool, line: str) -> DataFrame:
     """The other columns and `term`, words of the rows that count; repeats of a word in a row only once.
 
-    The list is joined, before stemming and again after it, so it may be of any size.
+    The list is joined, before stemming and again after it, so it may be of any size. Each distinct word of a row is
+    paired with its stem inside the row: joins and filters above the explode can't move below it, so nothing
+    computes a stem a second time.
     """
     others = [name for name in rows.columns if name != line]
-    distinct = rows.select(*others, F.explode_outer(F.array_distinct(words(F.col(line)))).alias("term"))
-    found = without_stopwords(distinct.where(is_countable_token(F.col("term"))), stopwords, "term")
+    counted = F.filter(F.array_distinct(words(F.col(line))), is_countable_token)
     if not stemmed:
-        return found
-    stems = found.select(*others, stem_word("term").alias("term")).where(is_countable_token(F.col("term")))
-    return without_stopwords(stems, stopwords, "term")
+        found = rows.select(*others, F.explode_outer(counted).alias("term")).where(F.col("term").isNotNull())
+        return without_stopwords(found, stopwords, "term")
+    rows = rows.select(*others, counted.alias("_words"))
+    both = F.arrays_zip(F.col("_words").alias("word"), stem_words("_words").alias("term"))
+    kept = F.filter(both, lambda pair: is_countable_token(pair["term"]))
+    found = rows.select(*others, F.inline_outer(kept).alias("word", "term")).where(F.col("term").isNotNull())
+    return without_stopwords(without_stopwords(found, stopwords, "word"), stopwords, "term").select(*others, "term")
 
 
 def document_frequency(
@@ -149,6 +154,26 @@ def document_stripes(frequencies: DataFrame) -> DataFrame:
     return frequencies.groupBy("doc_id").agg(F.map_from_entries(entries).alias("stripe"))
 
 
+def row_stripes(lines: DataFrame, terms: Sequence[str], stemmed: bool = True, line: str = "line") -> DataFrame:
+    """The stripe of every single row: the other columns and `stripe`, empty where no term occurs. No shuffle.
+
+    The terms are a sequence, which each task has as one hash set; words are counted, then stemmed, in the row.
+    """
+    others = [name for name in lines.columns if name != line]
+    listed = sorted({*terms})
+    counted = F.filter(words(F.col(line)), lambda word: F.length(word) >= MIN_SCORED_LENGTH)
+    rows = lines.select(*others, count_equal(counted).alias("_runs"))
+    stems = stem_words("_runs.item") if stemmed else F.col("_runs.item")
+    found = F.filter(F.arrays_zip(stems.alias("term"), F.col("_runs.n").alias("n")), lambda x: x["term"].isin(listed))
+
+    def entry(run: Column) -> Column:
+        total = F.aggregate(run, F.lit(0).cast("long"), lambda n, x: n + x["n"])
+        return F.struct(F.get(run, F.lit(0))["term"].alias("term"), total.alias("tf"))
+
+    entries = bind(F.array_sort(found), lambda x: F.transform(run_slices(x, "term"), entry))
+    return rows.select(*others, F.map_from_entries(entries).alias("stripe"))
+
+
 def encoded_stripes(stripes: DataFrame) -> DataFrame:
     """`doc_id, stripe` with the stripe as `term:count|term:count`."""
     return stripes.select("doc_id", encode_stripe(F.col("stripe")).alias("stripe"))

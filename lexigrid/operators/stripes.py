@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexigrid.functions.arrays import bind, run_slices
 from lexigrid.functions.words import words
 from lexigrid.operators.cooccurrence import centres, countable_listed, line_pairs, listed_words
 
@@ -59,17 +60,23 @@ def occurrence_stripes(lines: DataFrame, top: Sequence[str], distance: int = 1,
 def stripes_by_line(
     lines: DataFrame, top: Sequence[str], distance: int = 1, line: str = "line", checked: bool = True
 ) -> DataFrame:
-    """The stripes of every single line: other columns, `w1, stripe`. No shuffle."""
+    """The stripes of every single line: other columns, `w1, stripe`. No shuffle.
+
+    The line's pairs are in order, so those of one word follow each other and are cut out in one pass.
+    """
     others = [name for name in lines.columns if name != line]
     counted = line_pairs(lines, top, distance, line, checked)
+    pairs = F.transform("pair_counts", lambda p: F.struct(p["item"]["w1"].alias("w1"), p["item"]["w2"].alias("w2"), p["n"].alias("n")))
 
-    def stripe(w1: Column) -> Column:
-        own = F.filter(F.col("pair_counts"), lambda pair: pair["item"]["w1"] == w1)
-        entries = F.transform(own, lambda pair: F.struct(pair["item"]["w2"].alias("w2"), pair["n"].alias("n")))
-        return F.struct(w1.alias("w1"), F.map_from_entries(entries).alias("stripe"))
+    def stripe(run: Column) -> Column:
+        entries = F.transform(run, lambda pair: F.struct(pair["w2"].alias("w2"), pair["n"].alias("n")))
+        return F.struct(F.get(run, F.lit(0))["w1"].alias("w1"), F.map_from_entries(entries).alias("stripe"))
 
-    per_centre = counted.select(*others, F.transform("centre_words", stripe).alias("_stripes"))
-    return per_centre.select(*others, F.inline_outer("_stripes")).where(F.col("w1").isNotNull())
+    empty = F.map_from_entries(F.array().cast("array<struct<w2:string,n:bigint>>"))
+    found = F.transform(bind(pairs, lambda x: run_slices(x, "w1")), stripe)
+    alone = F.array_except("centre_words", F.transform("pair_counts", lambda p: p["item"]["w1"]))
+    both = F.concat(found, F.transform(alone, lambda w1: F.struct(w1.alias("w1"), empty.alias("stripe"))))
+    return counted.select(*others, F.inline_outer(both)).where(F.col("w1").isNotNull())
 
 
 def merge_stripes(partial: DataFrame) -> DataFrame:

@@ -105,6 +105,20 @@ def test_no_list_is_gathered_and_no_table_dealt_out_anew(spark, name):
     assert "scalar-subquery" not in text and "collect_set" not in text and "RoundRobin" not in text
 
 
+@pytest.mark.parametrize("name", ["document_frequency", "document_frequency_of_lines", "document_frequency_conversations", "tfidf_scores"])
+def test_each_distinct_word_is_stemmed_once(spark, name):
+    # One of the stemmer's longer suffixes, as often as in a plan that stems one word.
+    def rules(query):
+        return QUERIES[query](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString().count("ization")
+
+    stemmers = 2 if name == "tfidf_scores" else 1  # one for the dictionary, one for the documents
+    assert 0 < rules(name) == stemmers * rules("stem_dictionary")
+
+
+def test_partial_stripes_are_shuffled_once(spark):
+    assert len(exchanges(plan(spark, "doc_stripe_merged"))) == 1
+
+
 def test_registered_queries_are_in_the_entry():
     assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
