@@ -3,11 +3,16 @@
 FP-growth finds token combinations that are frequent among labelled URLs; those that imply a label
 with enough support and confidence become rules. A rule is indexed under its rarest token, so a
 URL looks only at the rules listed under its own tokens and checks that it has the rest of theirs.
+
+Two kinds of tokens would make FP-growth list all their combinations to no end, and are taken out first
+without losing a rule: tokens that stand in exactly the same labelled URLs count as one item, any of which fires the
+rule, and items that imply a label without exception are rules already, which no more tokens can better.
 """
 
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -15,7 +20,8 @@ from pyspark.sql import functions as F
 
 from .shared import scratch, stage
 
-LABEL = "label="
+LABEL, ITEM = "label=", "token="
+RULE = "struct<confidence: double, support: double, label: string, groups: array<array<string>>>"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -60,25 +66,71 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8) -> list[dict]:
-    """Rules {tokens, label, confidence, support} from `labelled` (tokens, label), all that are not redundant.
+def token_groups(each: DataFrame, least: Column) -> DataFrame:
+    """token, name, of `each` (row, token): tokens in at least `least` rows, and a name that those with the same rows share.
 
-    A rule is dropped if a part of its tokens implies the same label with as much confidence.
-    Without labelled rows there are none.
+    Rows are compared by counts and two hashes of the sets of rows, and then one by one: a group stays if every row
+    that has one of its tokens has all of them. Frequent tokens are as many as fit: tokens a row / support.
+    """
+    row = F.xxhash64("row")
+    hashes = [F.bit_xor(row).alias("h1"), F.sum(F.xxhash64("row", F.lit(1)).cast("decimal(38,0)")).alias("h2")]
+    often = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), *hashes).where(F.col("n") >= least)
+    often = stage(often, scratch(each.sparkSession, "often"))
+    same = often.groupBy("n", "h1", "h2").agg(F.min("token").alias("name"), F.count(F.lit(1)).alias("size"))
+    known = often.join(same, ["n", "h1", "h2"]).select("token", "name", "size")
+    several = known.where("size > 1")
+    met = each.join(several, "token").groupBy("row", "name").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+    unlike = met.where("n <> size").select("name").distinct().withColumn("unlike", F.lit(True))
+    return known.join(unlike, "name", "left").select("token", F.when(F.col("unlike"), F.col("token")).otherwise(F.col("name")).alias("name"))
+
+
+def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8) -> DataFrame:
+    """Rules of `labelled` (tokens, label): groups (rarest first), label, confidence, support; all that are not redundant.
+
+    A rule fires where each of its groups of tokens has one there. It is redundant if some of its groups
+    imply the same label with as much confidence. Without labelled rows there are none. Frequent tokens are at most
+    (tokens of a URL) / min_support, whatever the number of URLs, and so are rules of one group.
     """
-    baskets = labelled.where(F.col("label").isNotNull() & (F.size("tokens") > 0)).select(
-        F.array_append("tokens", F.concat(F.lit(LABEL), "label")).alias("items")
+    spark = labelled.sparkSession
+    work = scratch(spark, "rules")
+    rows = labelled.where(F.col("label").isNotNull() & (F.size("tokens") > 0)).select(
+        F.monotonically_increasing_id().alias("row"), F.array_distinct("tokens").alias("tokens"), F.col("label").cast("string").alias("label")
+    )
+    rows = stage(rows, f"{work}/rows")
+    n = rows.count()
+    least = F.lit(math.ceil(min_support * n))
+    each = rows.select("row", "label", F.explode("tokens").alias("token"))
+    names = stage(token_groups(each, least), f"{work}/names")
+    held = stage(each.join(names, "token").select("row", "label", "name").distinct(), f"{work}/held")
+
+    of_label = held.groupBy("name", "label").agg(F.count(F.lit(1)).alias("both"))
+    of_name = of_label.groupBy("name").agg(F.sum("both").alias("n"))
+    confidence = F.col("both") / F.col("n")
+    single = of_label.join(of_name, "name").where((F.col("both") >= least) & (confidence >= min_confidence)).select(
+        F.array("name").alias("tokens"), "label", confidence.alias("confidence"), (F.col("both") / F.lit(n)).alias("support")
     )
-    if baskets.isEmpty():
-        return []
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    consequent = F.element_at("consequent", 1)
-    found = model.associationRules.where(consequent.startswith(LABEL)).select(
-        F.sort_array("antecedent").alias("tokens"), F.expr(f"substring(consequent[0], {len(LABEL) + 1})").alias("label"),
-        "confidence", "support",
+    single = stage(single, f"{work}/single")
+    sure = single.where("confidence = 1").select(F.col("tokens")[0].alias("name"))
+    unsure = held.join(sure, "name", "left_anti").groupBy("row").agg(F.collect_set(F.concat(F.lit(ITEM), "name")).alias("items"))
+    baskets = rows.join(unsure, "row", "left").select(
+        F.array_append(F.coalesce("items", F.array().cast("array<string>")), F.concat(F.lit(LABEL), "label")).alias("items")
     )
-    kept = without_redundant(stage(found, scratch(labelled.sparkSession, "rules"))).collect()
-    return [r.asDict() for r in sorted(kept, key=lambda r: (len(r["tokens"]), -r["confidence"], -r["support"], r["tokens"], r["label"]))]
+    found = single
+    if n:
+        baskets = stage(baskets, f"{work}/baskets")
+        model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+        more = model.associationRules.where(F.col("consequent")[0].startswith(LABEL) & (F.size("antecedent") > 1)).select(
+            F.sort_array(F.transform("antecedent", lambda t: F.substring(t, len(ITEM) + 1, 1 << 30))).alias("tokens"),
+            F.expr(f"substring(consequent[0], {len(LABEL) + 1})").alias("label"), "confidence", "support",
+        )
+        found = single.unionByName(more)
+    kept = without_redundant(stage(found, f"{work}/found")).withColumn("rule", F.monotonically_increasing_id())
+    kept = stage(kept, f"{work}/kept")
+    groups = names.groupBy("name").agg(F.array_sort(F.collect_list("token")).alias("group")).join(of_name, "name")
+    whole = kept.select("rule", F.explode("tokens").alias("name")).join(groups, "name").groupBy("rule").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("n", "group"))), lambda x: x["group"]).alias("groups")
+    )
+    return stage(kept.join(whole, "rule").select("groups", "label", "confidence", "support"), f"{work}/rules")
 
 
 def without_redundant(rules: DataFrame) -> DataFrame:
@@ -101,34 +153,52 @@ def without_redundant(rules: DataFrame) -> DataFrame:
     return left(some, masks.select("tokens", "label", "confidence", part.alias("part")))
 
 
-def implied_label(own: Column, rules: list[dict]) -> Column:
-    """The label of the firing rule with most confidence (then support, then tokens); null if none fires."""
-    if not rules:
+def indexed(rules: DataFrame) -> DataFrame:
+    """token, rules: each rule under all tokens of its rarest group."""
+    rule = F.struct("confidence", "support", "label", "groups").alias("rule")
+    return rules.select(F.explode(F.col("groups")[0]).alias("token"), rule).groupBy("token").agg(F.collect_list("rule").alias("rules"))
+
+
+def fires(rule: Column, own: Column) -> Column:
+    return F.forall(rule["groups"], lambda group: F.arrays_overlap(group, own))
+
+
+def implied_label(own: Column, index: list[tuple[str, list[dict]]]) -> Column:
+    """The label of the firing rule with most confidence (then support, then label); null if none fires."""
+    if not index:
         return F.lit(None).cast("string")
-    often: dict[str, float] = {}
-    for rule in rules:
-        for token in rule["tokens"]:
-            often[token] = max(often.get(token, 0.0), rule["support"])
-    index: dict[str, list[dict]] = {}
-    for rule in rules:
-        index.setdefault(min(rule["tokens"], key=lambda t: (often[t], t)), []).append(rule)
-    kind = "map<string, array<struct<confidence: double, support: double, tokens: array<string>, label: string>>>"
-    listed = F.from_json(F.lit(json.dumps(index)), kind)  # a constant for the optimizer
+    listed = F.from_json(F.lit(json.dumps(dict(index))), f"map<string, array<{RULE}>>")  # a constant for the optimizer
     near = F.flatten(F.filter(F.transform(own, lambda t: F.element_at(listed, t)), lambda r: r.isNotNull()))
-    firing = F.filter(near, lambda r: F.size(F.array_except(r["tokens"], own)) == 0)
-    return F.array_max(firing)["label"]
+    return F.array_max(F.filter(near, lambda r: fires(r, own)))["label"]
+
+
+def with_implied_label(rows: DataFrame, rules: DataFrame, in_row: int, work: str) -> DataFrame:
+    """`rows` (_llm_tokens and others) with _llm_implied.
+
+    Up to `in_row` entries, the index is a constant of every row; a larger one is joined by token.
+    """
+    index = stage(indexed(rules), f"{work}/index")
+    if index.agg(F.coalesce(F.sum(F.size("rules")), F.lit(0))).first()[0] <= in_row:
+        entries = [(r.token, [x.asDict() for x in r.rules]) for r in index.collect()]
+        return rows.withColumn("_llm_implied", implied_label(F.col("_llm_tokens"), entries))
+    numbered = stage(rows.withColumn("_llm_row", F.monotonically_increasing_id()), f"{work}/numbered")
+    each = numbered.select("_llm_row", "_llm_tokens", F.explode("_llm_tokens").alias("token")).join(index, "token")
+    best = each.select(
+        "_llm_row", F.array_max(F.filter("rules", lambda r: fires(r, F.col("_llm_tokens")))).alias("best")
+    ).groupBy("_llm_row").agg(F.max("best").alias("best"))
+    return numbered.join(best.select("_llm_row", F.col("best.label").alias("_llm_implied")), "_llm_row", "left").drop("_llm_row")
 
 
 def judge(
     pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "allow", min_support: float = 0.002,
-    min_confidence: float = 0.8,
+    min_confidence: float = 0.8, in_row: int = 10_000,
 ) -> DataFrame:
     """All columns of `pages` with _llm_host, _llm_path, _llm_rule and _llm_verdict.
 
     The verdict is the fitting rule's; where none fits, the mined one, learned from the URLs that the given rules
-    judge; where no mined rule fires, `default`. Null urls have no tokens and get the default. Rows
-    are judged one by one without a shuffle, so repeated rows and hot hosts need no care; an empty table
-    gives no rows.
+    judge; where no mined rule fires, `default`. Null urls have no tokens and get the default. Rows are judged one by
+    one, so repeated rows and hot hosts need no care; a url of any length is read whole, and tokens that always come
+    together count once in mining. An empty table gives no rows.
     """
     url = F.col("url").cast("string")
     host, path = host_and_path(url)
@@ -139,5 +209,6 @@ def judge(
     })
     labelled = parsed.select(F.col("_llm_tokens").alias("tokens"), F.col("_llm_verdict").alias("label"))
     mined = mine(labelled, min_support, min_confidence)
-    own = F.coalesce("_llm_verdict", implied_label(F.col("_llm_tokens"), mined), F.lit(default))
-    return parsed.withColumn("_llm_verdict", own).drop("_llm_tokens")
+    judged = with_implied_label(parsed, mined, in_row, scratch(pages.sparkSession, "index"))
+    own = F.coalesce("_llm_verdict", "_llm_implied", F.lit(default))
+    return judged.withColumn("_llm_verdict", own).drop("_llm_tokens", "_llm_implied")
