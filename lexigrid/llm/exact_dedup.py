@@ -4,6 +4,7 @@ Each arriving text leaves a digest; a streaming aggregation keeps, per digest an
 the identifier and locator of the row that stays. Its state is on disk (RocksDB) and survives in
 the stream's checkpoint. A digest met more than once is a hit, and hits are compared byte by
 byte with the row that stays; what differs in spite of an equal digest forms groups of its own.
+A digest met very often is compared in parts, each with the content of the row that stays.
 """
 
 from __future__ import annotations
@@ -12,10 +13,10 @@ import hashlib
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import MaybeIn, map_batches, scratch, stage, texts
+from .shared import UPPER, MaybeIn, map_batches, scratch, stage, texts
 
 # State on disk; each batch saves what it changed, small stores don't reserve disk they won't fill, and
 # all stores of an executor share one bounded piece of memory.
@@ -79,6 +80,14 @@ def keyed_state(spark: SparkSession, folder: str, work: str, files_per_batch: in
     )
 
 
+PART = 1000
+
+
+def parts() -> Column:
+    """In how many parts the rows of a digest that has been met `n` times are compared."""
+    return F.ceil(F.col("n") / PART)
+
+
 class Dedup:
     """Exact duplicates of `docs` (doc_id, text, anything else).
 
@@ -103,8 +112,12 @@ class Dedup:
             self.state = stage(keyed_state(spark, f"{work}/arrivals", work, files_per_batch), f"{work}/state")
         self.hits = self.state.where("n > 1")
         self.maybe = MaybeIn(self.hits, "digest")
-        rows = self._rows(hits=True).withColumn("_llm_row", F.monotonically_increasing_id())
-        self.candidates = stage(rows, f"{work}/candidates")
+        # A digest of many rows is dealt in parts of about `PART` rows, as its state counts them. The join is written
+        # by itself, so that adaptive execution may split what a digest brings to it.
+        known = self.hits.select(F.col("digest").alias("_llm_digest"), F.col("keeper").alias("_llm_keeper"), parts().alias("_llm_parts"))
+        rows = self._rows(hits=True).withColumn("_llm_row", F.monotonically_increasing_id()).join(known, "_llm_digest", "left")
+        part = F.coalesce(F.pmod(F.xxhash64("_llm_row"), "_llm_parts"), F.lit(0))
+        self.candidates = stage(rows.withColumn("_llm_part", part), f"{work}/candidates")
         self.checked = stage(self._checked(), f"{work}/checked")
 
     def _rows(self, hits: bool) -> DataFrame:
@@ -129,29 +142,28 @@ class Dedup:
     def _checked(self) -> DataFrame:
         """row, doc_id, keep_id, group_size, kept, digest of each hit, bytes compared."""
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-        rows = self.candidates.select(
-            F.col("_llm_row").alias("row"),
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("_llm_file").alias("locator"),
-            F.col("_llm_digest").alias("digest"),
-            F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("content"),
+        hit = self.candidates.where("_llm_parts IS NOT NULL").select(
+            F.col("_llm_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("_llm_file").alias("locator"),
+            F.col("_llm_digest").alias("digest"), F.col("_llm_part").alias("part"), F.col("_llm_parts").alias("parts"),
+            F.col("_llm_keeper").alias("keeper"), F.translate(text, UPPER, UPPER.lower()).alias("content"),
         )
-        hit = rows.join(self.hits.select("digest", "keeper"), "digest")
-        own = F.struct("doc_id", "locator")
+        every_part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
         kept = (
-            hit.where(own.eqNullSafe(F.col("keeper")))
-            .groupBy("digest")
+            hit.where(F.struct("doc_id", "locator").eqNullSafe(F.col("keeper")))
+            .groupBy("digest", "parts")
             .agg(F.min("content").alias("kept_content"))
+            .select("digest", "kept_content", every_part)
         )
-        compared = hit.join(kept, "digest").select(
-            "row", "doc_id", "digest",
+        compared = hit.join(kept, ["digest", "part"]).select(
+            "row", "doc_id", "digest", "part", "parts",
             F.when(F.col("content") != F.col("kept_content"), F.col("content")).alias("other"),
         )
         compared = stage(compared, scratch(self.docs.sparkSession, "compared"))
-        groups = compared.groupBy("digest", "other").agg(
+        groups = compared.groupBy("digest", "parts", "other").agg(
             F.max(F.struct("doc_id", "row")).alias("keeper"), F.count(F.lit(1)).alias("group_size")
-        ).withColumnsRenamed({"digest": "g_digest", "other": "g_other"})
-        same = (F.col("digest") == F.col("g_digest")) & F.col("other").eqNullSafe(F.col("g_other"))
+        ).select("keeper", "group_size", F.col("digest").alias("g_digest"), F.col("other").alias("g_other"), every_part)
+        groups = groups.withColumnRenamed("part", "g_part")
+        same = (F.col("digest") == F.col("g_digest")) & (F.col("part") == F.col("g_part")) & F.col("other").eqNullSafe(F.col("g_other"))
         return compared.join(groups, same).select(
             "row", "doc_id", F.col("keeper.doc_id").alias("keep_id"), "group_size",
             (F.col("row") == F.col("keeper.row")).alias("kept"), "digest",
