@@ -20,8 +20,8 @@ def in_order(rows: DataFrame, keys: list[Column], path: str) -> DataFrame:
     return stage(dealt.withColumns({"_part": part, "_at": at}).drop("_place"), path)
 
 
-def sums_before(ordered: DataFrame, group: list[str], value: Column, name: str) -> DataFrame:
-    """`ordered` rows with `name`: the sum of `value` over the earlier rows of the same group.
+def sums_before(ordered: DataFrame, group: list[str], value: Column, name: str, total: str = "_total") -> DataFrame:
+    """`ordered` rows with `name`, the sum of `value` over the earlier rows of the same group, and `total`, that over all of it.
 
     `group` columns hold no nulls and come first in the order, so a group is a run of ranges. Its rows are
     gathered range by range only.
@@ -31,7 +31,8 @@ def sums_before(ordered: DataFrame, group: list[str], value: Column, name: str)
     own = rows.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(*group, "_part").agg(F.sum("_value").alias("_sum")).select(
-        *group, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_earlier")
+        *group, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_earlier"),
+        F.sum("_sum").over(Window.partitionBy(*group)).alias(total),
     )
     return own.join(totals, [*group, "_part"]).withColumn(name, F.col("_inside") + F.col("_earlier")).drop(
         "_value", "_inside", "_earlier"

@@ -4,62 +4,42 @@ Rows of a source are put in a seeded random order; a row's fractional rank is it
 order over the source's size. In the order of fractional ranks every stretch holds each source in
 proportion, so the order is cut into shards of equal row counts.
 
-Both rankings are made without gathering a source or the corpus in one task: a row falls into one
-of `buckets` ranges of the sort key, ranges are counted, and a row's rank is what stands in the
-ranges before plus its place in its own. Keys are uniform, so a hot source has even ranges.
+Both rankings are made without gathering a source, the corpus or a tie in one task: rows are dealt by ranges of
+their whole sort key, and a row's rank is what stands in the ranges before plus its place in its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import in_order, sums_before
+from .shared import scratch, stage
 
-def _before(counts: DataFrame, within: list[str], bucket: str, n: str, name: str) -> DataFrame:
-    """Running sum of the earlier buckets; at most `buckets` rows are in one group."""
-    earlier = Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn(name, F.coalesce(F.sum(n).over(earlier), F.lit(0)))
 
-
-def assign_shards(
-    docs: DataFrame, shards: int = 40, seed: int = 7, buckets: int = 4096, payload: list[Column] | None = None
-) -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = 40, seed: int = 7, payload: list[Column | str] | None = None) -> DataFrame:
     """doc_id, the `payload` columns, shard (0 to shards - 1) and slot (gapless from 0).
 
     Row counts of shards differ by one at most, whatever the sources. Null sources are a source
     of their own. Null doc_ids and repeated rows are dealt like any others; rows with equal
     doc_id, source and text are interchangeable. An empty table gives no rows. With fewer
-    rows than shards the last shards stay empty.
+    rows than shards the last shards stay empty. Texts, however long, are read once and not shuffled. Other columns play no
+    part, whatever their names; `payload` must not name doc_id, shard or slot.
     """
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    work = scratch(docs.sparkSession, "shards")
     rows = docs.select(
-        F.col("doc_id"), *(payload or []), F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_source"),
-        key.alias("_key"), F.crc32(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_tie"),
-    )
-    head = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
-    rows = rows.withColumn("_range", F.floor(head * buckets / 2**32))
-
-    counts = rows.groupBy("_source", "_range").agg(F.count(F.lit(1)).alias("_n"))
-    of_source = Window.partitionBy("_source")
-    counts = _before(counts.withColumn("_of", F.sum("_n").over(of_source)), ["_source"], "_range", "_n", "_skip")
-    joined = rows.join(counts.drop("_n"), ["_source", "_range"])
-    inside = Window.partitionBy("_source", "_range").orderBy("_key", "doc_id", "_tie")
-    rank = F.col("_skip") + F.row_number().over(inside)
-    ranked = joined.withColumn("_part", (rank - F.lit(0.5)) / F.col("_of"))
-
-    ranked = ranked.withColumn("_slice", F.floor(F.col("_part") * buckets)).drop("_of", "_skip", "_range")
-    slices = ranked.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-    slices = slices.withColumn("_all", F.sum("_n").over(Window.partitionBy()))
-    slices = _before(slices, [], "_slice", "_n", "_skip").select(
-        F.col("_slice").alias("_l"), "_all", "_skip"
-    )
-    # One row a slice, `buckets` rows at most: small enough for every task by construction.
-    placed = ranked.join(F.broadcast(slices), F.col("_slice") == F.col("_l"))
-    inside = Window.partitionBy("_slice").orderBy("_part", "_source", "_key", "doc_id", "_tie")
-    place = F.col("_skip") + F.row_number().over(inside) - 1
-    return (
-        placed.withColumn("_place", place)
-        .withColumn("shard", F.expr(f"CAST(_place * {shards} DIV _all AS INT)"))
-        .withColumn("slot", F.expr(f"_place - (shard * _all + {shards - 1}) DIV {shards}"))
-        .drop("_source", "_key", "_tie", "_part", "_slice", "_l", "_all", "_skip", "_place")
+        F.struct("doc_id", *(payload or [])).alias("payload"), F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("source"),
+        key.alias("key"), F.col("doc_id"), F.crc32(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("tie"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    keys = [F.col(c) for c in ("source", "key", "doc_id", "tie", "row")]
+    ordered = in_order(stage(rows, f"{work}/rows"), keys, f"{work}/in-source")
+    ranked = sums_before(ordered, ["source"], F.lit(1), "before", total="of").drop("_part", "_at")
+    ranked = ranked.withColumn("part", (F.col("before") + F.lit(0.5)) / F.col("of"))
+    ranked = stage(ranked.drop("before", "of"), f"{work}/ranked")
+    ordered = in_order(ranked, [F.col("part"), *keys], f"{work}/in-order").withColumn("whole", F.lit(0))
+    placed = sums_before(ordered, ["whole"], F.lit(1), "place", total="n").withColumn("shards", F.lit(shards))
+    shard = F.expr("CAST(place * shards DIV n AS INT)")
+    slot = F.expr("place - (shard * n + shards - 1) DIV shards")
+    return placed.withColumn("shard", shard).withColumn("slot", slot).select("payload.*", "shard", "slot")
