@@ -14,8 +14,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .shared import Sent, map_batches, scratch, stage, texts
+from .shared import MaybeIn, Sent, map_batches, scratch, stage, texts
 
 # A-Z to a-z; every other ASCII character but a-z and 0-9 separates words.
 WORD_BYTES = bytes(
@@ -93,6 +94,35 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out) + text[last:]
 
 
+SPANS = "array<struct<first: int, end: int>>"
+SPAN_LIST = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
+
+
+def as_structs(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
+    return [{"first": first, "end": end} for first, end in spans]
+
+
+def block_of(pairs: DataFrame) -> Block:
+    return Block([(bytes(w), s, i) for w, s, i in pairs.collect()])
+
+
+def gathered(hits: list[DataFrame]) -> DataFrame:
+    """hash, spans, items: what the blocks found in a text, put together."""
+    every = hits[0]
+    for more in hits[1:]:
+        every = every.unionAll(more)
+    held = [F.flatten(F.collect_list(name)).alias(name) for name in ("spans", "items")]  # one entry a block
+    one = every.groupBy("hash").agg(*held)
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spans = [as_structs(merged([(s["first"], s["end"]) for s in own])) for own in batch.column(1).to_pylist()]
+        items = [sorted(set(own)) for own in batch.column(2).to_pylist()]
+        arrays = [batch.column(0), pa.array(spans, SPAN_LIST), pa.array(items, pa.list_(pa.string()))]
+        return pa.RecordBatch.from_arrays(arrays, ["hash", "spans", "items"])
+
+    return map_batches(one, make, f"hash binary, spans {SPANS}, items array<string>")
+
+
 class Decontamination:
     """Benchmark passages (item_id, text) in `docs` (doc_id, text, anything else).
 
@@ -102,8 +132,9 @@ class Decontamination:
     without words never occurs; a null item_id is named ''. Items may repeat. Empty tables
     give empty results (an empty benchmark: no hits). Other columns play no part.
 
-    Windows are sent to the tasks `max_windows` at a time (about 100 MB at most with ordinary words);
-    a larger benchmark is searched in several such blocks, each over all documents.
+    Whole texts are searched, a long one in time that grows with its words. Windows are sent to the tasks `max_windows` at a
+    time (about 100 MB at most with ordinary words); a larger benchmark is searched in several such blocks, each over all
+    documents, of which only the hits are written.
     """
 
     def __init__(self, docs: DataFrame, benchmark: DataFrame, size: int = 10, max_windows: int = 1 << 20):
@@ -125,38 +156,75 @@ class Decontamination:
         work = scratch(docs.sparkSession, "windows")
         pairs = stage(pairs, f"{work}/pairs")
         blocks = max(1, -(-pairs.count() // max_windows))
-        names = "array<struct<first: int, end: int>>"
-        found = docs.select(
-            "*", F.array().cast(names).alias("_llm_spans"), F.array().cast("array<string>").alias("_llm_items"),
-            F.lit(0).cast("long").alias("_llm_words"),
-        )
+        if blocks == 1:
+            self.found = self._scanned(Sent(docs.sparkSession, block_of(pairs)))
+            return
+        hits = []
         for b in range(blocks):
-            own = pairs.where(F.pmod(F.xxhash64("window", "item"), F.lit(blocks)) == b) if blocks > 1 else pairs
-            block = Block([(bytes(w), s, i) for w, s, i in own.collect()])
-            found = self._scan(found, block)
-            if b < blocks - 1:
-                found = stage(found, f"{work}/scan-{b}")
-        self.found = found
-
-    def _scan(self, found: DataFrame, block: Block) -> DataFrame:
+            block = Sent(docs.sparkSession, block_of(pairs.where(F.pmod(F.xxhash64("window", "item"), F.lit(blocks)) == b)))
+            hits.append(stage(self._hits(block), f"{work}/hits-{b}"))
+        self.found = self._joined(stage(gathered(hits), f"{work}/hits"))
+
+    def _schema(self) -> StructType:
+        """That of the documents with what was found."""
+        found = StructType.fromDDL(f"_llm_spans {SPANS}, _llm_items array<string>, _llm_words long")
+        return StructType([*self.docs.schema.fields, *found.fields])
+
+    def _scanned(self, sent: Sent) -> DataFrame:
+        """The documents with _llm_spans, _llm_items and _llm_words, from one scan."""
         n, at = len(self.docs.columns), self.docs.columns.index("text")
-        sent = Sent(found.sparkSession, block)
+        schema = self._schema()
 
         def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-            spans, items, counts = [], [], []
-            before = zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist(), strict=True)
-            for text, (old_spans, old_items) in zip(texts(batch.column(at)), before, strict=True):
-                of_text = words(text)
-                new_spans, new_items = sent.value.search(of_text)
-                all_spans = merged(new_spans + [(s["first"], s["end"]) for s in old_spans])
-                spans.append([{"first": a, "end": b} for a, b in all_spans])
-                items.append(sorted({*new_items, *old_items}))
-                counts.append(len(of_text))
-            kinds = [batch.schema.field(n).type, batch.schema.field(n + 1).type, pa.int64()]
-            added = [pa.array(v, k) for v, k in zip((spans, items, counts), kinds, strict=True)]
-            return pa.RecordBatch.from_arrays([*batch.columns[:n], *added], batch.schema.names)
-
-        return map_batches(found, make, found.schema)
+            of_texts = [words(t) for t in texts(batch.column(at))]
+            found = [sent.value.search(w) for w in of_texts]
+            added = [
+                pa.array([as_structs(merged(spans)) for spans, _ in found], SPAN_LIST),
+                pa.array([sorted(items) for _, items in found], pa.list_(pa.string())), pa.array([len(w) for w in of_texts], pa.int64()),
+            ]
+            return pa.RecordBatch.from_arrays([*batch.columns[:n], *added], schema.names)
+
+        return map_batches(self.docs, make, schema)
+
+    def _hits(self, sent: Sent) -> DataFrame:
+        """hash, spans, items of each text with a window of one block. What is found depends on the text only."""
+        def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+            keys, spans, items = [], [], []
+            for text in texts(batch.column(0)):
+                own, held = sent.value.search(words(text))
+                if own:
+                    keys.append(xxhash.xxh3_128_digest(text)), spans.append(as_structs(merged(own))), items.append(sorted(held))
+            arrays = [pa.array(keys, pa.binary()), pa.array(spans, SPAN_LIST), pa.array(items, pa.list_(pa.string()))]
+            return pa.RecordBatch.from_arrays(arrays, ["hash", "spans", "items"])
+
+        rows = self.docs.select(F.col("text").cast("string"))
+        return map_batches(rows, make, f"hash binary, spans {SPANS}, items array<string>").groupBy("hash").agg(
+            F.first("spans").alias("spans"), F.first("items").alias("items")
+        )
+
+    def _joined(self, hits: DataFrame) -> DataFrame:
+        """The documents with what all blocks found; those that certainly have no hit are not shuffled."""
+        n, at = len(self.docs.columns), self.docs.columns.index("text")
+        maybe = Sent(self.docs.sparkSession, MaybeIn(hits, "hash"))
+        schema = self._schema()
+
+        def make(batch: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
+            found = texts(batch.column(at))
+            keys = [xxhash.xxh3_128_digest(t) for t in found]
+            mask = maybe.value(keys) == wanted
+            added = [
+                pa.array([[]] * len(found), SPAN_LIST), pa.array([[]] * len(found), pa.list_(pa.string())),
+                pa.array([len(words(t)) for t in found], pa.int64()), *([pa.array(keys, pa.binary())] if wanted else []),
+            ]
+            names = [*schema.names, *(["_llm_hash"] if wanted else [])]
+            return pa.RecordBatch.from_arrays([*batch.columns[:n], *added], names).filter(pa.array(mask))
+
+        clean = map_batches(self.docs, lambda batch: make(batch, False), schema)
+        wide = StructType(list(schema.fields)).add("_llm_hash", "binary")
+        unsure = map_batches(self.docs, lambda batch: make(batch, True), wide)
+        both = unsure.join(hits.withColumnsRenamed({"hash": "_llm_hash", "spans": "_llm_s", "items": "_llm_i"}), "_llm_hash", "left")
+        both = both.withColumns({"_llm_spans": F.coalesce("_llm_s", "_llm_spans"), "_llm_items": F.coalesce("_llm_i", "_llm_items")})
+        return clean.unionByName(both.select(*schema.names))
 
     def report(self) -> DataFrame:
         """One row per document: doc_id, n_words, n_hit, n_items, items (sorted), contaminated."""
