@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Sent, map_batches
+from .shared import Sent, map_batches, slices
 
 hashed = xxhash.xxh3_64_intdigest
 
@@ -62,10 +63,11 @@ class PerfectHash:
 class Tokenizer:
     """Ranks (token bytes -> id), with every single byte among them, and the pre-token pattern.
 
-    `cache` holds the ids of up to `cache_size` pre-tokens of up to 64 characters met by this process.
+    `cache` holds the ids of pre-tokens of up to 64 characters met in this task. When it has `cache_size` it becomes the
+    `older` one, from which what is met again is taken over, so frequent pre-tokens are never merged anew.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_size: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_size: int = 150_000):
         self.ranks, self.pattern, self.cache_size = ranks, regex.compile(pattern), cache_size
         self.hash = PerfectHash([*ranks])
         self.keys: list[bytes] = [b""] * len(ranks)
@@ -73,11 +75,17 @@ class Tokenizer:
         for token, rank in ranks.items():
             slot = self.hash.slot(token)
             self.keys[slot], self.packed[slot] = token, rank.to_bytes(4, "little")
-        self.by_id = {rank: token for token, rank in ranks.items()}
+        self.by_id = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.by_id[rank] = token
+        self.forget()
+
+    def forget(self) -> None:
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"cache": {}}
+        return self.__dict__ | {"cache": {}, "older": {}}
 
     def encode_piece(self, piece: bytes) -> bytes:
         """Ids of one pre-token, packed as little-endian 32-bit integers."""
@@ -112,30 +120,29 @@ class Tokenizer:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, packed; special tokens are ordinary text."""
-        cache, pieces = self.cache, self.pattern.findall(text)
-        try:
-            return b"".join(map(cache.__getitem__, pieces))
-        except KeyError:
-            pass
         out = []
-        for piece in pieces:
-            ids = cache.get(piece)
-            if ids is None:
-                ids = self.encode_piece(piece.encode())
-                if len(cache) >= self.cache_size:
-                    cache.clear()
-                if len(piece) <= 64:
-                    cache[piece] = ids
-            out.append(ids)
+        for piece in self.pattern.findall(text):
+            ids = self.cache.get(piece)
+            out.append(self._not_cached(piece) if ids is None else ids)
         return b"".join(out)
 
+    def _not_cached(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode_piece(piece.encode())
+        if len(piece) <= 64:
+            if len(self.cache) >= self.cache_size:
+                self.older, self.cache = self.cache, {}
+            self.cache[piece] = ids
+        return ids
+
     def decode(self, packed: bytes) -> bytes:
         return joined(packed, self.by_id)
 
 
-def joined(packed: bytes, by_id: dict[int, bytes]) -> bytes:
+def joined(packed: bytes, by_id: list[bytes]) -> bytes:
     """The bytes that packed ids stand for."""
-    return b"".join([by_id[i] for i in np.frombuffer(packed, "<u4").tolist()])
+    return b"".join(map(by_id.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
 def load_tokenizer(path: str, pattern: str) -> Tokenizer:
@@ -181,18 +188,22 @@ def round_trip(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     Same rows as decode(encode(docs)), but ids and decoded bytes never leave the worker that made them.
     """
     sent = Sent(docs.sparkSession, tokenizer)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts, of_ids, of_decoded = [], [], []
-        for text in batch.column(1):
-            ids = sent.value.encode(text.as_py() or "")
-            counts.append(len(ids) // 4)
-            of_ids.append(hashlib.sha256(ids).hexdigest())
-            of_decoded.append(hashlib.sha256(sent.value.decode(ids)).hexdigest())
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_decoded, pa.string())],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        try:
+            for batch in slices(batches):
+                counts, of_ids, of_decoded = [], [], []
+                for text in batch.column(1):
+                    ids = own.encode(text.as_py() or "")
+                    counts.append(len(ids) // 4)
+                    of_ids.append(hashlib.sha256(ids).hexdigest())
+                    of_decoded.append(hashlib.sha256(own.decode(ids)).hexdigest())
+                arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+        finally:
+            own.forget()  # the worker process lives on
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_batches(rows, make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
