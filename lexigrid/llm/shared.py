@@ -34,10 +34,13 @@ def held_out(doc_id: Column) -> Column:
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+LOCAL: dict[str, tempfile.TemporaryDirectory] = {}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the one all executors share.
 
-    Where spark.checkpoint.dir is unset, a local session gets a temporary folder; any other
+    Where spark.checkpoint.dir is unset, a local session gets a temporary folder, which goes when the process ends; any other
     session is refused, since its executors would not see the driver's disk. Every operator starts here,
     so this also lowers Spark's default of 10,000 rows a batch for Python, which is far too much
     memory where a row is a whole document; any other value is left as it is.
@@ -48,8 +51,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="lexigrid-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        application = spark.sparkContext.applicationId
+        if application not in LOCAL:
+            LOCAL[application] = tempfile.TemporaryDirectory(prefix="lexigrid-", ignore_cleanup_errors=True)
+        shared = LOCAL[application].name
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
