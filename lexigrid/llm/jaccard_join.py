@@ -359,6 +359,8 @@ class JaccardJoin:
         met = self._met(short, short, ["gram"])
         more = entries.select("node", F.col("gram").alias("second"), F.col("pos").alias("pos2"))
         long = mixed.where(F.col("members") >= long_list).select(*names).join(more, "node").where("pos2 > pos")
+        # The wide parities, which travel badly, are looked at when pairs are distinct.
+        long = long.withColumn("parity", F.col("parity").withField("wide", F.lit(None).cast("array<bigint>")))
         step = math.log(100 / self.percent + 1e-9) if self.percent < 100 else 1.0
         size = F.floor(F.log(F.col("n")) / step).cast("int")
         # Sizes that may fit are in one step or in neighbouring ones: the larger set goes to both.
