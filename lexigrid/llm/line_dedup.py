@@ -44,7 +44,8 @@ class LineDedup:
     [\\x20\\x09-\\x0D] stripped at both ends and A-Z lower-cased. Keys of `min_chars` code points
     or more that stand in `min_docs` documents or more lose all their lines except in the
     document with the largest doc_id among them, which keeps every one. Rows with one doc_id,
-    null included, are one document when counted and each keep or lose their own lines. Other
+    null included, are one document when counted and each keep or lose their own lines. An empty table gives
+    empty results. Whole texts are split; a very long one, or one of very many lines, is one row's work like any other. Other
     columns play no part. Keys are compared by a 128-bit hash.
 
     A hash's count is a sum that starts in each task, so a line of every third document is one

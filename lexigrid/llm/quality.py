@@ -197,8 +197,9 @@ class Quality:
     """Scores `docs` (doc_id, text) as `labels` (doc_id, quality) mark them.
 
     Only the text enters a score; empty and null texts have a score too, learned like any other.
-    Equal texts have equal scores. Empty tables give no rows, or scores of 1/2 if there are no
-    labels. Texts are read once: their features, about 160 bytes a row, are written and serve both
+    Equal texts have equal scores, so repeated rows and rows without a doc_id do too. Labels that repeat or contradict
+    each other count as their mean. Texts of any length are read whole; other columns play no part. Empty tables give no
+    rows, or scores of 1/2 if there are no labels. Texts are read once: their features, about 160 bytes a row, are written and serve both
     learning and scoring.
     """
 
