@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .shared import Sent, scratch, stage
 
 BUCKET_ROWS = 1024
-BUFFER_BYTES = 32 << 20  # rows that a task sorts by length before it cuts buckets
+BUFFER_BYTES = 32 << 20  # of rows that a task sorts by length before it cuts buckets; of anchors in a block
 GROUP = 256  # anchors that are looked up together
 SLACK = 1e-9  # of angles and lengths, so that rounding never loses a row
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
@@ -181,7 +181,7 @@ class HardNegatives:
     its `positives` best other rows of its label, and a positive's negatives the `negatives` best rows of other labels with
     low * positive_score <= 100 * score <= high * positive_score. Rows with a null label or vector, or a null component, take no part.
     Rows that repeat an id, or are equal, are rows of their own, anchors too. Whole-number labels are compared as
-    they are, others by a 64-bit hash. Empty tables and tables without anchors give no rows; other columns play no part.
+    they are, others by a 64-bit hash. Anchors go to the tasks `block` at a time, or fewer where vectors are long. Empty tables and tables without anchors give no rows; other columns play no part.
     """
 
     def __init__(
@@ -201,7 +201,7 @@ class HardNegatives:
         self.width = max(width or 0, 1)
         self.buckets = stage(self._buckets(taken), f"{self.work}/buckets")
         found = []
-        blocks = -(-n // block)
+        blocks = -(-n // max(1, min(block, BUFFER_BYTES // (8 * self.width))))
         for b in range(blocks):
             own = taken.where("anchor").where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b)
             found.append(self._block(own.select("row", "id", "label", "vector").toArrow(), b))
