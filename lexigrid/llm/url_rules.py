@@ -111,10 +111,9 @@ def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float
     )
     single = stage(single, f"{work}/single")
     sure = single.where("confidence = 1").select(F.col("tokens")[0].alias("name"))
-    unsure = held.join(sure, "name", "left_anti").groupBy("row").agg(F.collect_set(F.concat(F.lit(ITEM), "name")).alias("items"))
-    baskets = rows.join(unsure, "row", "left").select(
-        F.array_append(F.coalesce("items", F.array().cast("array<string>")), F.concat(F.lit(LABEL), "label")).alias("items")
-    )
+    unsure = held.join(sure, "name", "left_anti").select("row", F.concat(F.lit(ITEM), "name").alias("item"))
+    items = unsure.unionAll(rows.select("row", F.concat(F.lit(LABEL), "label")))
+    baskets = items.groupBy("row").agg(F.collect_set("item").alias("items"))
     found = single
     if n:
         baskets = stage(baskets, f"{work}/baskets")
@@ -186,7 +185,8 @@ def with_implied_label(rows: DataFrame, rules: DataFrame, in_row: int, work: str
     best = each.select(
         "_llm_row", F.array_max(F.filter("rules", lambda r: fires(r, F.col("_llm_tokens")))).alias("best")
     ).groupBy("_llm_row").agg(F.max("best").alias("best"))
-    return numbered.join(best.select("_llm_row", F.col("best.label").alias("_llm_implied")), "_llm_row", "left").drop("_llm_row")
+    implied = best.select("_llm_row", F.col("best.label").alias("_llm_implied"))
+    return numbered.hint("merge").join(implied, "_llm_row", "left").drop("_llm_row")  # grows with the rows
 
 
 def judge(
