@@ -91,7 +91,7 @@ class Mixture:
 
     def plan(self) -> DataFrame:
         """One row per document: doc_id, size, source_size, target, taken, epochs (whole ones), part (words of the next), row."""
-        placed = sums_before(self.ordered, ["source"], F.col("size"), "before").join(self.sources, "source")
+        placed = sums_before(self.ordered, ["source"], F.col("size"), "before", facts=self.sources)
         epochs = F.when(F.col("source_size") > 0, F.expr("budget DIV source_size")).otherwise(0)
         rest = F.col("budget") - F.col("epochs") * F.col("source_size") - F.col("before")
         part = F.greatest(F.lit(0), F.least(rest, F.col("size")))

@@ -20,9 +20,13 @@ def in_order(rows: DataFrame, keys: list[Column], path: str) -> DataFrame:
     return stage(dealt.withColumns({"_part": part, "_at": at}).drop("_place"), path)
 
 
-def sums_before(ordered: DataFrame, group: list[str], value: Column, name: str, total: str = "_total") -> DataFrame:
+def sums_before(
+    ordered: DataFrame, group: list[str], value: Column, name: str, total: str = "_total", facts: DataFrame | None = None
+) -> DataFrame:
     """`ordered` rows with `name`, the sum of `value` over the earlier rows of the same group, and `total`, that over all of it.
 
+    `facts`, one row a group, are added to the rows with the sums, so that no frequent group is joined as such.
+
     `group` columns hold no nulls and come first in the order, so a group is a run of ranges. Its rows are
     gathered range by range only.
     """
@@ -34,6 +38,8 @@ def sums_before(ordered: DataFrame, group: list[str], value: Column, name: str,
         *group, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_earlier"),
         F.sum("_sum").over(Window.partitionBy(*group)).alias(total),
     )
+    if facts is not None:
+        totals = totals.join(facts, group)
     return own.join(totals, [*group, "_part"]).withColumn(name, F.col("_inside") + F.col("_earlier")).drop(
         "_value", "_inside", "_earlier"
     )
