@@ -66,6 +66,14 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     )
 
 
+FEW = 50_000  # rows of a token table that is sent to every task
+
+
+def few(tokens: DataFrame) -> DataFrame:
+    """A staged table of tokens, to be broadcast if it is small; what it is joined with grows with the URLs and never is."""
+    return F.broadcast(tokens) if tokens.count() <= FEW else tokens
+
+
 def token_groups(each: DataFrame, least: Column) -> DataFrame:
     """token, name, of `each` (row, token): tokens in at least `least` rows, and a name that those with the same rows share.
 
@@ -77,9 +85,8 @@ def token_groups(each: DataFrame, least: Column) -> DataFrame:
     often = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), *hashes).where(F.col("n") >= least)
     often = stage(often, scratch(each.sparkSession, "often"))
     same = often.groupBy("n", "h1", "h2").agg(F.min("token").alias("name"), F.count(F.lit(1)).alias("size"))
-    known = often.join(same, ["n", "h1", "h2"]).select("token", "name", "size")
-    several = known.where("size > 1")
-    met = each.join(several, "token").groupBy("row", "name").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+    known = stage(often.join(same, ["n", "h1", "h2"]).select("token", "name", "size"), scratch(each.sparkSession, "named"))
+    met = each.hint("merge").join(few(known.where("size > 1")), "token").groupBy("row", "name").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
     unlike = met.where("n <> size").select("name").distinct().withColumn("unlike", F.lit(True))
     return known.join(unlike, "name", "left").select("token", F.when(F.col("unlike"), F.col("token")).otherwise(F.col("name")).alias("name"))
 
@@ -101,7 +108,7 @@ def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float
     least = F.lit(math.ceil(min_support * n))
     each = rows.select("row", "label", F.explode("tokens").alias("token"))
     names = stage(token_groups(each, least), f"{work}/names")
-    held = stage(each.join(names, "token").select("row", "label", "name").distinct(), f"{work}/held")
+    held = stage(each.hint("merge").join(few(names), "token").select("row", "label", "name").distinct(), f"{work}/held")
 
     of_label = held.groupBy("name", "label").agg(F.count(F.lit(1)).alias("both"))
     of_name = of_label.groupBy("name").agg(F.sum("both").alias("n"))
