@@ -18,6 +18,8 @@ from lexigrid.sinks.text import encode_stripe
 SCORED_DOCUMENTS = 10000.0
 MIN_SCORED_LENGTH = 2
 DICTIONARY_SIZE = 100
+# Tuned values: beyond so many terms or words to look for, every word is stemmed instead.
+MOST_FAMILIES, MOST_LISTED = 5_000, 20_000
 
 
 # -- stems ------------------------------------------------------------------
@@ -33,13 +35,17 @@ def stem_dictionary(word_rows: DataFrame, column: str = "word") -> DataFrame:
 
 
 def distinct_terms(
-    lines: DataFrame, stopwords: Sequence[str] | None = None, stemmed: bool = True, line: str = "line"
+    lines: DataFrame,
+    stopwords: Sequence[str] | None = None,
+    stemmed: bool = True,
+    line: str = "line",
+    listed: Sequence[str] | None = None,
 ) -> DataFrame:
     """Each row with `terms`, its distinct terms, in place of the line.
 
     Words have to count and be on no stopword list, before stemming and again after it. All of it
     happens inside the row, so the list is a sequence, which each task has as one hash set; each
-    distinct word is stemmed once.
+    distinct word is stemmed once. With `listed` only the terms of these words are looked for.
     """
     others = [name for name in lines.columns if name != line]
     stop = sorted({*(stopwords or ())})
@@ -47,12 +53,18 @@ def distinct_terms(
     def allowed(word: Column) -> Column:
         return is_countable_token(word) & ~word.isin(stop) if stop else is_countable_token(word)
 
-    found = lines.select(*others, F.filter(F.array_distinct(words(F.col(line))), allowed).alias("terms"))
+    found = lines.select(*others, F.filter(F.array_distinct(_listed_words(line, listed)), allowed).alias("terms"))
     if stemmed:
         found = found.withColumn("terms", F.filter(F.array_distinct(stem_words("terms")), allowed))
     return found.select(*others, "terms")
 
 
+def _listed_words(line: str, listed: Sequence[str] | None) -> Column:
+    """The words of a line, or of these only the listed ones."""
+    found = words(F.col(line))
+    return found if listed is None else F.filter(found, lambda word: word.isin(sorted({*listed})))
+
+
 def _document_terms(rows: DataFrame, stopwords: DataFrame | None, stemmed: bool, line: str) -> DataFrame:
     """The other columns and `term`, words of the rows that count; repeats of a word in a row only once.
 
@@ -90,14 +102,19 @@ def document_frequency(
 
 
 def document_frequency_of_rows(
-    texts: DataFrame, stopwords: Sequence[str] | None = None, stemmed: bool = True, text: str = "text"
+    texts: DataFrame,
+    stopwords: Sequence[str] | None = None,
+    stemmed: bool = True,
+    text: str = "text",
+    listed: Sequence[str] | None = None,
 ) -> DataFrame:
     """`document_frequency` where every row is one whole document.
 
     A row's terms are distinct already, so they are counted at once and only
-    (term, partial count) rows are shuffled, never (document, term).
+    (term, partial count) rows are shuffled, never (document, term). With `listed`
+    only these words are looked at.
     """
-    terms = distinct_terms(texts.select(text), stopwords, stemmed, text)
+    terms = distinct_terms(texts.select(text), stopwords, stemmed, text, listed)
     occurrences = terms.select(F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
     return occurrences.groupBy("term").agg(F.count("*").alias("df"))
 
@@ -107,16 +124,53 @@ def top_terms(frequencies: DataFrame, k: int = DICTIONARY_SIZE) -> DataFrame:
     return frequencies.orderBy(F.desc("df"), F.asc("term")).limit(k)
 
 
+def words_of_top_terms(
+    texts: DataFrame, stopwords: Sequence[str] | None = None, k: int = DICTIONARY_SIZE, text: str = "text"
+) -> list[str] | None:
+    """Every word whose stem can be among the `k` of highest document frequency; every row is one document.
+
+    A stem is in as many documents as its most frequent word at least, and in as many as its words together at most.
+    So stems whose upper bound is below the k-th lower bound are out, and only each distinct word of the corpus is
+    stemmed, not each of a document. None where the words are too many for a list: then all words are to be looked at.
+    """
+    stop = sorted({*(stopwords or ())})
+
+    def allowed(word: Column) -> Column:
+        return is_countable_token(word) & ~word.isin(stop) if stop else is_countable_token(word)
+
+    found = texts.select(F.explode_outer(F.array_distinct(words(F.col(text)))).alias("word"))
+    counts = found.where(F.length("word") >= MIN_SCORED_LENGTH).groupBy("word").agg(F.count("*").alias("n"))
+    # Filters can't move below the generator, so a stem is computed once for each distinct word.
+    stems = counts.select("word", "n", F.explode_outer(stem_words("array(word)")).alias("term"))
+    counted = F.when(allowed(F.col("word")), F.col("n"))
+    families = stems.where(allowed(F.col("term"))).groupBy("term").agg(
+        F.max(counted).alias("least"), F.sum(counted).alias("most"), F.collect_list("word").alias("words")
+    ).where(F.col("most").isNotNull())
+    rows = families.orderBy(F.desc("most")).limit(MOST_FAMILIES + 1).collect()
+    least = min(sorted((row.least for row in rows), reverse=True)[:k], default=0)
+    if len(rows) > MOST_FAMILIES and rows[-1].most >= least:
+        return None
+    listed = sorted({word for row in rows if row.most >= least for word in row.words})
+    return listed if len(listed) <= MOST_LISTED else None
+
+
 # -- term frequency and scores ----------------------------------------------
 
 
-def scored_terms(lines: DataFrame, stemmed: bool = True, doc_id: str = "doc_id", line: str = "line") -> DataFrame:
+def scored_terms(
+    lines: DataFrame,
+    stemmed: bool = True,
+    doc_id: str = "doc_id",
+    line: str = "line",
+    listed: Sequence[str] | None = None,
+) -> DataFrame:
     """`doc_id, term, n` per row and distinct word, by the looser rule for scoring.
 
     Words of two letters or more; no stopword list, no Roman rule. Repeats of a
-    word in a row are counted first, so each is stemmed once.
+    word in a row are counted first, so each is stemmed once. With `listed` only
+    these words are counted.
     """
-    counted = F.filter(words(F.col(line)), lambda word: F.length(word) >= MIN_SCORED_LENGTH)
+    counted = F.filter(_listed_words(line, listed), lambda word: F.length(word) >= MIN_SCORED_LENGTH)
     rows = lines.select(F.col(doc_id).alias("doc_id"), count_equal(counted).alias("_runs"))
     terms = stem_words("_runs.item") if stemmed else F.col("_runs.item")
     zipped = rows.select("doc_id", F.arrays_zip(terms.alias("term"), F.col("_runs.n").alias("n")).alias("_terms"))
@@ -124,14 +178,21 @@ def scored_terms(lines: DataFrame, stemmed: bool = True, doc_id: str = "doc_id",
 
 
 def term_frequency(
-    lines: DataFrame, dictionary: DataFrame, stemmed: bool = True, doc_id: str = "doc_id", line: str = "line"
+    lines: DataFrame,
+    dictionary: DataFrame,
+    stemmed: bool = True,
+    doc_id: str = "doc_id",
+    line: str = "line",
+    listed: Sequence[str] | None = None,
 ) -> DataFrame:
     """`doc_id, term, tf, df` for the terms of a dictionary (`term, df`).
 
     Words outside the dictionary are dropped before anything is shuffled, and
-    each task adds up its part of a document first.
+    each task adds up its part of a document first. `listed`, if given, holds every
+    word of the lines that has a term of the dictionary, such as `words_of_top_terms`;
+    others are dropped before they are counted and stemmed.
     """
-    found = scored_terms(lines, stemmed, doc_id, line).join(dictionary.select("term", "df"), "term")
+    found = scored_terms(lines, stemmed, doc_id, line, listed).join(dictionary.select("term", "df"), "term")
     return found.groupBy("doc_id", "term", "df").agg(F.sum("n").alias("tf")).select("doc_id", "term", "tf", "df")
 
 
@@ -154,17 +215,24 @@ def document_stripes(frequencies: DataFrame) -> DataFrame:
     return frequencies.groupBy("doc_id").agg(F.map_from_entries(entries).alias("stripe"))
 
 
-def row_stripes(lines: DataFrame, terms: Sequence[str], stemmed: bool = True, line: str = "line") -> DataFrame:
+def row_stripes(
+    lines: DataFrame,
+    terms: Sequence[str],
+    stemmed: bool = True,
+    line: str = "line",
+    listed: Sequence[str] | None = None,
+) -> DataFrame:
     """The stripe of every single row: the other columns and `stripe`, empty where no term occurs. No shuffle.
 
     The terms are a sequence, which each task has as one hash set; words are counted, then stemmed, in the row.
+    `listed` is as for `term_frequency`.
     """
     others = [name for name in lines.columns if name != line]
-    listed = sorted({*terms})
-    counted = F.filter(words(F.col(line)), lambda word: F.length(word) >= MIN_SCORED_LENGTH)
+    wanted = sorted({*terms})
+    counted = F.filter(_listed_words(line, listed), lambda word: F.length(word) >= MIN_SCORED_LENGTH)
     rows = lines.select(*others, count_equal(counted).alias("_runs"))
     stems = stem_words("_runs.item") if stemmed else F.col("_runs.item")
-    found = F.filter(F.arrays_zip(stems.alias("term"), F.col("_runs.n").alias("n")), lambda x: x["term"].isin(listed))
+    found = F.filter(F.arrays_zip(stems.alias("term"), F.col("_runs.n").alias("n")), lambda x: x["term"].isin(wanted))
 
     def entry(run: Column) -> Column:
         total = F.aggregate(run, F.lit(0).cast("long"), lambda n, x: n + x["n"])

@@ -1,4 +1,4 @@
-"""Jobs that feed one another, as one plan: no list leaves the cluster between them."""
+"""Jobs that feed one another, as one plan."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from lexigrid.operators.indexing import (
     term_frequency,
     tf_idf,
     top_terms,
+    words_of_top_terms,
 )
 from lexigrid.operators.wordcount import top_words, word_counts
 
@@ -42,10 +43,12 @@ def scores_of_corpus(
     """TF-IDF of a corpus over its own `k` terms of highest document frequency.
 
     Set `whole_documents` where every row is one document; see
-    `document_frequency_of_rows`. Its list is then a sequence, otherwise a DataFrame.
+    `document_frequency_of_rows`. Its list is then a sequence, otherwise a DataFrame, and if
+    terms are stemmed the words to look for are found at once, in a job of its own.
     """
+    listed = words_of_top_terms(texts, stopwords, k, line) if whole_documents and stemmed else None
     if whole_documents:
-        frequencies = document_frequency_of_rows(texts, stopwords, stemmed, line)
+        frequencies = document_frequency_of_rows(texts, stopwords, stemmed, line, listed)
     else:
         frequencies = document_frequency(texts, stopwords, stemmed, doc_id, line)
-    return tf_idf(term_frequency(texts, top_terms(frequencies, k), stemmed, doc_id, line))
+    return tf_idf(term_frequency(texts, top_terms(frequencies, k), stemmed, doc_id, line, listed))

@@ -9,10 +9,12 @@ from lexigrid.operators.indexing import (
     document_stripes,
     encoded_stripes,
     merge_encoded_stripes,
+    row_stripes,
     score,
     term_frequency,
     tf_idf,
     top_terms,
+    words_of_top_terms,
     with_document_frequency,
 )
 from lexigrid.plans import scores_of_corpus
@@ -55,6 +57,45 @@ def test_top_terms_break_ties_by_term(spark):
     assert [r.term for r in top_terms(df, 2).collect()] == ["c", "a"]
 
 
+def family_texts(spark):
+    """`run` leads by its whole family only; `fox` and `war` tie; `the` is a stopword, `cares` is one once stemmed."""
+    texts = ["running war the fox", "runs the fox xii", "run runs the cares", "runner war the cares", "ran", "", None]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, line string")
+
+
+@pytest.mark.parametrize("k, listed", [(1, "fox run running runs war"), (9, "fox ran run runner running runs war")])
+def test_words_of_terms_that_can_lead(spark, k, listed):
+    texts, stop = family_texts(spark), ["the", "care"]
+    assert words_of_top_terms(texts, stop, k, "line") == listed.split()
+    every = top_terms(document_frequency_of_rows(texts, stop, text="line"), k)
+    some = top_terms(document_frequency_of_rows(texts, stop, text="line", listed=listed.split()), k)
+    assert some.collect() == every.collect()
+    assert every.first() == ("run", 3)
+
+
+def test_only_listed_words_are_counted_and_stemmed(spark):
+    texts = family_texts(spark)
+    given = spark.createDataFrame([("run", 3), ("is", 1)], "term string, df long")
+    found = term_frequency(texts, given, listed=["run", "runs", "running", "is"])
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, term_frequency(texts, given).collect()))
+    assert [r.tf for r in term_frequency(texts, given, listed=["runs"]).orderBy("doc_id").collect()] == [1, 1]
+    stripes = row_stripes(texts, ["run"], listed=["run", "runs", "running"]).orderBy("doc_id").collect()
+    assert stripes == row_stripes(texts, ["run"]).orderBy("doc_id").collect()
+
+
+def test_too_many_words_to_list_are_not_listed(spark, monkeypatch):
+    monkeypatch.setattr("lexigrid.operators.indexing.MOST_LISTED", 3)
+    assert words_of_top_terms(family_texts(spark), None, 9, "line") is None
+    monkeypatch.setattr("lexigrid.operators.indexing.MOST_FAMILIES", 1)
+    assert words_of_top_terms(family_texts(spark), ["the", "care"], 1, "line") is None
+
+
+def test_no_words_no_list(spark):
+    empty = spark.createDataFrame([(1, ""), (2, None)], "doc_id long, line string")
+    assert words_of_top_terms(empty, ["the"], 5, "line") == []
+    assert scores_of_corpus(empty, ["the"], whole_documents=True).collect() == []
+
+
 @pytest.mark.parametrize(
     "tf, df, expected", [(3, 2, 25.552180), (1, 9518, 0.718152), (2, 4014, 2.500537), (1, 1, 9.210440)]
 )
