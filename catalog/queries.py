@@ -221,8 +221,16 @@ def dictionary(spark, folder):
     return indexing.top_terms(df_of_documents(spark, folder))
 
 
+def own_dictionary(spark, folder):
+    """`dictionary` and the words to look for: those of all terms that can be in it."""
+    texts = documents(spark, folder)
+    listed = indexing.words_of_top_terms(texts, STOPWORDS)
+    return indexing.top_terms(indexing.document_frequency_of_rows(texts, STOPWORDS, listed=listed)), listed
+
+
 def frequencies(spark, folder):
-    return indexing.term_frequency(document_texts(spark, folder), dictionary(spark, folder))
+    given, listed = own_dictionary(spark, folder)
+    return indexing.term_frequency(document_texts(spark, folder), given, listed=listed)
 
 
 def doc_stripe_merged(spark, folder):
