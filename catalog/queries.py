@@ -235,8 +235,9 @@ def frequencies(spark, folder):
 
 def doc_stripe_merged(spark, folder):
     """Encoded stripes of single lines, with broken parts added, merged by document."""
-    terms = [r.term for r in dictionary(spark, folder).select("term").collect()]  # 100
-    partial = indexing.row_stripes(document_lines(spark, folder).select("doc_id", "line"), terms)
+    given, listed = own_dictionary(spark, folder)
+    terms = [r.term for r in given.select("term").collect()]  # 100
+    partial = indexing.row_stripes(document_lines(spark, folder).select("doc_id", "line"), terms, listed=listed)
     encoded = indexing.encoded_stripes(partial)
     broken = F.concat("stripe", F.lit("|x|y:z||:|term:1.5"))
     return indexing.merge_encoded_stripes(encoded.select("doc_id", broken.alias("stripe")))
