@@ -32,6 +32,7 @@ from .shared import MaybeIn, Sent, map_batches, release, scratch, slices, stage,
 
 FACTOR = 0x9E3779B97F4A7C15
 PARITY_BITS, WIDE_BITS = 512, 4096
+NARROW_WORDS = PARITY_BITS // 64
 WIDE_FROM = 560  # sets of so many n-grams have wide parities as well
 LONG_LIST = 8  # lists of so many nodes can have more pairs than entries: they check parities inside the join
 MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -357,10 +358,12 @@ class JaccardJoin:
         long_list = self.long_list if self.percent > 50 else 1 << 62
         short = mixed.where(F.col("members") < long_list).select(*names)
         met = self._met(short, short, ["gram"])
+        # Comparing wide parities is no generated code, so pairs of large sets have a join of their own.
+        large = short.where(F.col("n") >= WIDE_FROM)
+        met = met.unionByName(self._met(large, large, ["gram"], wide=True))
         more = entries.select("node", F.col("gram").alias("second"), F.col("pos").alias("pos2"))
         long = mixed.where(F.col("members") >= long_list).select(*names).join(more, "node").where("pos2 > pos")
         # The wide parities, which travel badly, are looked at when pairs are distinct.
-        long = long.withColumn("parity", F.col("parity").withField("wide", F.lit(None).cast("array<bigint>")))
         step = math.log(100 / self.percent + 1e-9) if self.percent < 100 else 1.0
         size = F.floor(F.log(F.col("n")) / step).cast("int")
         # Sizes that may fit are in one step or in neighbouring ones: the larger set goes to both.
@@ -369,21 +372,46 @@ class JaccardJoin:
         met = met.unionByName(self._met(lower, upper, ["gram", "second", "step"]))
         return self._new_pairs(met, (F.col("a"), F.col("na")), (F.col("b"), F.col("nb")), done, "left")
 
-    def _met(self, ones: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
-        """a, na, b, nb: nodes with equal keys, of different components and not both in the list's largest one, that may be similar."""
-        named = {"node": "a", "n": "na", "pos": "pa", "label": "la", "parity": "sa"}
-        other = {"node": "b", "n": "nb", "pos": "pb", "label": "lb", "parity": "sb"}
-        x, y = ones.withColumnsRenamed(named).drop("most", "pos2", "own"), others.withColumnsRenamed(other).drop("pos2")
+    def _narrow_allows(self) -> Column:
+        """Whether the narrow parities of a and b, a column a word, allow a link; the first words tell most unlike sets."""
+        most = (100 - self.percent) * (F.col("na") + F.col("nb"))
+        bits = [F.bit_count(F.col(f"sa{i}").bitwiseXOR(F.col(f"sb{i}"))) for i in range(NARROW_WORDS)]
+        fits = [F.coalesce((100 + self.percent) * sum(bits[:k]) <= most, F.lit(True)) for k in (1, 2, 4, NARROW_WORDS)]
+        return fits[0] & fits[1] & fits[2] & fits[3]
+
+    def _met(self, ones: DataFrame, others: DataFrame, keys: list[str], wide: bool = False) -> DataFrame:
+        """a, na, b, nb: nodes with equal keys, of different components and not both in the list's largest one, that may be similar.
+
+        By a first n-gram alone, pairs of which both have wide parities are found with `wide` and left out without.
+        """
+
+        def sided(rows: DataFrame, side: str) -> DataFrame:
+            parts = {f"s{side}{i}": F.col("parity")["narrow"][i] for i in range(NARROW_WORDS)}
+            if wide:
+                parts[f"w{side}"] = F.col("parity")["wide"]
+            named = {"node": side, "n": f"n{side}", "pos": f"p{side}", "label": f"l{side}", "pos2": f"q{side}"}
+            return rows.withColumns(parts).drop("parity").withColumnsRenamed(named)
+
+        x, y = sided(ones, "a").drop("most", "own"), sided(others, "b")
         # Two of one table meet twice, and one of them counts; two sizes of neighbouring steps meet once.
         twice = F.col("a") < F.col("b")
         if "step" in keys:
             twice = twice | (F.col("own") != F.col("step"))
-        met = x.join(y, keys).where(
+        may = (
             twice & (F.col("la") != F.col("lb")) & ((F.col("la") != F.col("most")) | (F.col("lb") != F.col("most")))
             & self._may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"))
-            & self._parities_allow(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"))
         )
-        return met.select("a", "na", "b", "nb")
+        if "second" in keys:
+            # Where the two n-grams are the first ones in common, the overlap is the first and what stands from the second on.
+            may = may & self._may_link(F.col("na"), F.col("qa") - 1, F.col("nb"), F.col("qb") - 1)
+        elif not wide:
+            may = may & (F.least("na", "nb") < WIDE_FROM)
+        may = may & self._narrow_allows()
+        if wide:
+            differ = F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+            fits = (100 + self.percent) * F.aggregate(differ, F.lit(0), lambda a, x: a + x) <= (100 - self.percent) * (F.col("na") + F.col("nb"))
+            may = may & F.coalesce(fits, F.lit(True))
+        return x.join(y, keys).where(may).select("a", "na", "b", "nb")
 
     def _segments(self, needed: DataFrame, name: str) -> DataFrame:
         """node, fragment, grams of the needed nodes, each from one of its documents."""

@@ -68,3 +68,29 @@ def test_one_row_of_a_group_stays_whatever_its_doc_ids(spark):
     texts = [r.text for r in kept.collect()]
     assert len(texts) == 5 and set(alone) <= set(texts)
     assert len([t for t in texts if t in near]) == 1 and len([t for t in texts if t in other]) == 1
+
+
+def test_pairs_of_long_lists_meet_where_enough_can_follow(spark):
+    join = object.__new__(JaccardJoin)
+    join.percent = 80
+    parity = "struct<narrow: array<long>, wide: array<long>>"
+    schema = f"gram long, node long, n int, pos int, label long, most long, parity {parity}, second long, pos2 int, step int, own int"
+    # From position 19 on 81 of 100 n-grams are left, too few for 80 percent; from 2 on there are enough.
+    rows = [(1, node, 100, 0, node, 9, None, second, pos, 5, 5) for node in (1, 2) for second, pos in ((7, 19), (8, 2))]
+    rows += [(1, 3, 100, 0, 3, 9, ([0] * 8, None), 8, 2, 5, 5), (1, 4, 100, 0, 4, 9, ([-1] + [0] * 7, None), 8, 2, 5, 5)]
+    table = spark.createDataFrame(rows, schema)
+    met = join._met(table, table.hint("merge"), ["gram", "second", "step"])
+    assert sorted((r.a, r.b) for r in met.collect()) == [(1, 2), (1, 3), (1, 4), (2, 3), (2, 4)]
+    one = spark.createDataFrame([r for r in rows if r[7] == 7], schema)
+    assert join._met(one, one, ["gram", "second", "step"]).collect() == []
+
+
+@pytest.mark.parametrize("bit, expected", [(0, [(1, 2)]), (-1, [])])
+def test_pairs_of_large_sets_look_at_wide_parities(spark, bit, expected):
+    join = object.__new__(JaccardJoin)
+    join.percent = 80
+    schema = "gram long, node long, n int, pos int, label long, most long, parity struct<narrow: array<long>, wide: array<long>>"
+    rows = [(1, node, 600, 0, node, 9, ([0] * 8, [bit * (node - 1)] * 64)) for node in (1, 2)]
+    table = spark.createDataFrame(rows, schema)
+    assert [(r.a, r.b) for r in join._met(table, table, ["gram"], wide=True).collect()] == expected
+    assert join._met(table, table, ["gram"]).collect() == []  # left to the other join
