@@ -19,7 +19,7 @@ of n-grams hashes to i, so two sets differ in as many n-grams as their parities
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,21 +36,96 @@ NARROW_WORDS = PARITY_BITS // 64
 WIDE_FROM = 560  # sets of so many n-grams have wide parities as well
 LONG_LIST = 8  # lists of so many nodes can have more pairs than entries: they check parities inside the join
 MIX = np.uint64(0xFF51AFD7ED558CCD)
-
-
-def shingles(text: bytes, size: int) -> np.ndarray:
-    """64-bit hashes of the distinct `size`-word n-grams, sorted; of fewer words, the whole as one."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    width = min(size, len(words))
-    out = np.full(len(words) - width + 1, width, np.uint64)
+# The five primes of xxh64, and the bytes between words.
+XXH = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+TOGETHER = 1 << 17  # bytes of text that are hashed at once
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """xxh64 of each word of a text, A-Z lower-cased, and where in the text it starts; whole arrays at a time."""
+    data = np.frombuffer(b" " + text.lower() + b" " * 8, np.uint8)
+    blank = BLANK[data]
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    lengths = ends - starts
+    out = lengths.astype(np.uint64) + XXH[4]
+    eights, fours = (np.lib.stride_tricks.sliding_window_view(data, k) for k in (8, 4))
+    for k in range(3):
+        at = np.flatnonzero(lengths >= 8 * (k + 1))
+        lane = eights[starts[at] + 8 * k].view("<u8")[:, 0]
+        out[at] = turned(out[at] ^ (turned(lane * XXH[1], 31) * XXH[0]), 27) * XXH[0] + XXH[3]
+    rest = starts + (lengths & ~7)
+    at = np.flatnonzero(lengths & 4)
+    lane = fours[rest[at]].view("<u4")[:, 0].astype(np.uint64)
+    out[at] = turned(out[at] ^ (lane * XXH[0]), 23) * XXH[1] + XXH[2]
+    rest[at] += 4
+    for k in range(3):
+        at = np.flatnonzero((lengths & 3) > k)
+        out[at] = turned(out[at] ^ (data[rest[at] + k].astype(np.uint64) * XXH[4]), 11) * XXH[0]
+    out = (out ^ (out >> np.uint64(33))) * XXH[1]
+    out = (out ^ (out >> np.uint64(29))) * XXH[2]
+    out ^= out >> np.uint64(32)
+    for i in np.flatnonzero(lengths >= 32).tolist():  # xxh64 has another way for these
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return out, starts - 1
+
+
+def turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def gram_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of all runs of `width` words."""
+    out = np.full(max(0, len(words) - width + 1), width, np.uint64)
     for k in range(width):
-        out = out * np.uint64(FACTOR) + hashes[k : k + len(out)]
+        out *= np.uint64(FACTOR)
+        out += words[k : k + len(out)]
     out ^= out >> np.uint64(33)
     out *= MIX
-    return np.unique(out ^ (out >> np.uint64(33)))
+    out ^= out >> np.uint64(33)
+    return out
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """The distinct ones, sorted; sorts in place."""
+    hashes.sort()
+    new = hashes[1:] != hashes[:-1]
+    return hashes.copy() if new.all() else hashes[np.concatenate(([True], new))]
+
+
+def shingle_sets(contents: Iterable[bytes], size: int) -> Iterator[np.ndarray]:
+    """64-bit hashes of the distinct `size`-word n-grams of each text, sorted; of fewer words, the whole as one.
+
+    Texts are hashed together, as many as `TOGETHER` bytes take and one at least; n-grams across texts are left out.
+    """
+    group, held = [], 0
+    for text in contents:
+        if group and held + len(text) > TOGETHER:
+            yield from _sets_of_group(group, size)
+            group, held = [], 0
+        group.append(text)
+        held += len(text) + 1
+    yield from _sets_of_group(group, size)
+
+
+def _sets_of_group(group: list[bytes], size: int) -> Iterator[np.ndarray]:
+    hashes, starts = word_hashes(b" ".join(group))
+    grams = gram_hashes(hashes, size)
+    after = np.cumsum([len(t) + 1 for t in group])
+    begin = 0
+    for end in np.searchsorted(starts, after).tolist():
+        n = end - begin
+        if n >= size:
+            yield distinct(grams[begin : end - size + 1])
+        else:
+            yield gram_hashes(hashes[begin:end], n) if n else np.empty(0, np.uint64)
+        begin = end
+
+
+def shingles(text: bytes, size: int) -> np.ndarray:
+    """The set of one text."""
+    return next(shingle_sets([text], size))
 
 
 def node_of(found: np.ndarray) -> bytes:
@@ -194,7 +269,7 @@ class JaccardJoin:
             parity = pa.struct([("narrow", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
             salt = 0
             for batch in slices(batches):
-                sets = [shingles(t, size) for t in texts(batch.column(1))]
+                sets = [*shingle_sets(texts(batch.column(1)), size)]
                 if not sets:
                     continue
                 all_found = np.concatenate(sets)
@@ -231,8 +306,7 @@ class JaccardJoin:
             order, seen = sent.value, set()  # of a task's own documents
             for batch in slices(batches):
                 grams, nodes, places, parts = [], [], [], []
-                for text in texts(batch.column(0)):
-                    found = shingles(text, size)
+                for found in shingle_sets(texts(batch.column(0)), size):
                     node = node_of(found)
                     if not len(found) or node in seen:
                         continue
@@ -425,8 +499,7 @@ class JaccardJoin:
             for batch in slices(batches):
                 batch = batch.filter(pa.array(maybe_in(batch.column(0).to_pylist())))
                 nodes, fragments, grams = [], [], []
-                for text in texts(batch.column(1)):
-                    found = shingles(text, size)
+                for found in shingle_sets(texts(batch.column(1)), size):
                     node = node_of(found)
                     if not len(found) or node in seen:
                         continue
@@ -482,7 +555,7 @@ class JaccardJoin:
             batch = batch.filter(pa.array(mask == wanted))
             if not wanted:
                 return batch.select(names)
-            nodes = [node_of(shingles(t, size)) for t in texts(batch.column(at))]
+            nodes = [node_of(x) for x in shingle_sets(texts(batch.column(at)), size)]
             return batch.append_column("_llm_node", pa.array(short_ids(nodes, turn) if nodes else [], pa.int64()))
 
         rows = self.docs.withColumn("_llm_key", key)

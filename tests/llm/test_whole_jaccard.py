@@ -3,7 +3,9 @@
 import random
 
 import pytest
+import xxhash
 
+from lexigrid.llm import jaccard_join
 from lexigrid.llm.jaccard_join import JaccardJoin, halves, short_id, short_ids, unique_turn
 from tests.llm.test_edges import SCHEMA, brute_groups, rows
 
@@ -94,3 +96,21 @@ def test_pairs_of_large_sets_look_at_wide_parities(spark, bit, expected):
     table = spark.createDataFrame(rows, schema)
     assert [(r.a, r.b) for r in join._met(table, table, ["gram"], wide=True).collect()] == expected
     assert join._met(table, table, ["gram"]).collect() == []  # left to the other join
+
+
+@pytest.mark.parametrize("together", [1, 40, 1 << 17])
+def test_sets_of_texts_hashed_together(monkeypatch, together):
+    monkeypatch.setattr(jaccard_join, "TOGETHER", together)
+    draw = random.Random(5)
+    texts = [bytes(draw.choices(b"aB zZ\t\n\x0b\x0c\r\x1c\x85\xff\x00", k=draw.randrange(80))) for _ in range(200)]
+    texts += [b"x" * n for n in range(70)] + [b"a " * n for n in range(9)] + [b""]
+    for text in texts:
+        found, starts = jaccard_join.word_hashes(text)
+        assert found.tolist() == [xxhash.xxh64_intdigest(w) for w in text.lower().split()]
+        assert all(text[i : i + 1].strip() for i in starts.tolist())
+    sets = [*jaccard_join.shingle_sets(texts, 5)]
+    for text, found in zip(texts, sets, strict=True):
+        words = text.lower().split()
+        n = min(5, len(words))
+        assert len(found) == (len({*zip(*(words[i:] for i in range(n)), strict=False)}) if n else 0)
+        assert (found == jaccard_join.shingles(text, 5)).all() and (found[1:] > found[:-1]).all()
