@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 from .shared import UPPER, MaybeIn, map_batches, scratch, stage, texts
 
 # State on disk; each batch saves what it changed, small stores don't reserve disk they won't fill, and
-# all stores of an executor share one bounded piece of memory.
+# all stores of an executor share one bounded piece of memory. A store is closed when its batch is saved: an executor
+# has as many open as it runs tasks, not one for each partition of the shuffle, and none after the stream.
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 

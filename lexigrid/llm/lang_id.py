@@ -19,6 +19,7 @@ from .shared import Sent, held_out, slices
 
 SHIFT = 21  # bits of a code point
 SPACE = 32
+TOGETHER = 1024  # n-grams whose vectors are unpacked at once
 
 
 class Space:
@@ -34,7 +35,7 @@ class Space:
     def _clear(self) -> None:
         self.letters: dict[int, np.ndarray] = {}
         self.rows: dict[int, int] = {}
-        self.grams = np.empty((0, self.dim), np.float32)
+        self.grams = np.empty((0, self.dim), np.int8)  # +1 and -1
         self.is_letter: np.ndarray | None = None
 
     def __getstate__(self) -> dict:
@@ -86,7 +87,7 @@ class Space:
         new = codes[at < 0][: self.stored - len(self.rows)]
         if len(new):
             if len(self.rows) + len(new) > len(self.grams):
-                grown = np.empty((min(self.stored, 2 * (len(self.rows) + len(new))), self.dim), np.float32)
+                grown = np.empty((min(self.stored, 2 * (len(self.rows) + len(new))), self.dim), np.int8)
                 grown[: len(self.rows)] = self.grams[: len(self.rows)]
                 self.grams = grown
             for c in new.tolist():
@@ -94,7 +95,10 @@ class Space:
                 self.rows[c] = len(self.rows)
             at = np.fromiter((self.rows.get(c, -1) for c in codes.tolist()), np.int64, len(codes))
         known = at >= 0
-        out = counts[known].astype(np.float32) @ self.grams[at[known]]
+        out = np.zeros(self.dim, np.float32)
+        own, times = at[known], counts[known].astype(np.float32)
+        for start in range(0, len(own), TOGETHER):
+            out += times[start : start + TOGETHER] @ self.grams[own[start : start + TOGETHER]].astype(np.float32)
         for c, n in zip(codes[~known].tolist(), counts[~known].tolist(), strict=True):
             out += n * self.gram(c)
         return out

@@ -183,3 +183,12 @@ def test_conflicting_and_repeated_labels_and_odd_rows(spark):
     scores = [(r.doc_id, r.score) for r in quality.Quality(docs, labels).scores().collect()]
     assert len(scores) == len(rows) and all(0 <= s <= 1 for _, s in scores)
     assert min(s for i, s in scores if i is not None and i < 200 and i % 2) > max(s for i, s in scores if i is not None and i < 200 and not i % 2)
+
+
+def test_vectors_are_packed_and_unpacked_in_parts(monkeypatch):
+    text = "Of many different words, n-grams repeat: of many, of many."
+    whole, slow = lang_id.Space(dim=64).vector(text), Slow(dim=64).vector(text)
+    monkeypatch.setattr(lang_id, "TOGETHER", 3)
+    space = lang_id.Space(dim=64, stored=20)
+    assert (space.vector(text) == whole).all() and (whole == slow).all()
+    assert space.grams.itemsize == 1 and space.grams.shape[0] <= 20
