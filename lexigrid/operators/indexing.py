@@ -20,6 +20,8 @@ MIN_SCORED_LENGTH = 2
 DICTIONARY_SIZE = 100
 # Tuned values: beyond so many terms or words to look for, every word is stemmed instead.
 MOST_FAMILIES, MOST_LISTED = 5_000, 20_000
+# Tuned values: the characters of a document put together in one row, and how many longer ones are told apart.
+LONGEST_TOGETHER, MOST_LONG = 1_000_000, 20_000
 
 
 # -- stems ------------------------------------------------------------------
@@ -84,6 +86,22 @@ def _document_terms(rows: DataFrame, stopwords: DataFrame | None, stemmed: bool,
     return without_stopwords(without_stopwords(found, stopwords, "word"), stopwords, "term").select(*others, "term")
 
 
+def _short_list(stopwords: DataFrame | None) -> list[str] | None:
+    """The words of a list that is short enough for every task to hold, else None."""
+    if stopwords is None:
+        return []
+    rows = stopwords.where(F.col("word").isNotNull()).select("word").limit(MOST_LISTED + 1).collect()
+    return [row.word for row in rows] if len(rows) <= MOST_LISTED else None
+
+
+def long_documents(lines: DataFrame, doc_id: str = "doc_id", line: str = "line") -> list[int] | None:
+    """The hashes of the documents too long for one row; None where they are too many for a list."""
+    lengths = lines.groupBy(doc_id).agg(F.sum(F.length(line) + 1).alias("_length"))
+    long = lengths.where(F.col("_length") > LONGEST_TOGETHER).select(F.xxhash64(doc_id).alias("key"))
+    keys = [row.key for row in long.limit(MOST_LONG + 1).collect()]
+    return keys if len(keys) <= MOST_LONG else None
+
+
 def document_frequency(
     lines: DataFrame,
     stopwords: DataFrame | None = None,
@@ -93,12 +111,32 @@ def document_frequency(
 ) -> DataFrame:
     """`term, df`: in how many documents each term occurs.
 
-    For documents spread over many rows, in any order and place. (document,
-    term) is made distinct in each task, then once more by key: the keys are many
-    and of equal weight even if one document or one term is everywhere.
+    For documents spread over many rows, in any order and place. The lines of a document are put together in one
+    row, where its terms are made distinct, so lines travel and not their (document, term) pairs. Longer documents,
+    which a job of its own finds, stay as they are: their (document, term) pairs are made distinct in each task, then
+    once more by key: the keys are many and of equal weight even if one document or one term is everywhere. So does
+    everything where the long documents or the words of the list are too many to be listed.
     """
-    terms = _document_terms(lines.select(doc_id, line), stopwords, stemmed, line)
-    return terms.distinct().groupBy("term").agg(F.count("*").alias("df"))
+    rows = lines.select(doc_id, line)
+    listed = _short_list(stopwords)
+    long = None if listed is None else long_documents(rows, doc_id, line)
+
+    def by_pairs(rows: DataFrame) -> DataFrame:
+        terms = _document_terms(rows, stopwords, stemmed, line)
+        return terms.distinct().groupBy("term").agg(F.count("*").alias("df"))
+
+    def together(rows: DataFrame) -> DataFrame:
+        texts = rows.groupBy(doc_id).agg(F.listagg(line, F.lit("\n")).alias(line))
+        return document_frequency_of_rows(texts, listed, stemmed, line)
+
+    if long is None:
+        return by_pairs(rows)
+    if not long:
+        return together(rows)
+    # Documents that share the hash of a long one are taken for long too, which changes no count.
+    is_long = F.xxhash64(doc_id).isin(long)
+    both = together(rows.where(~is_long)).unionByName(by_pairs(rows.where(is_long)))
+    return both.groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def document_frequency_of_rows(

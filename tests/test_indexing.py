@@ -8,6 +8,7 @@ from lexigrid.operators.indexing import (
     document_frequency_of_rows,
     document_stripes,
     encoded_stripes,
+    long_documents,
     merge_encoded_stripes,
     row_stripes,
     score,
@@ -52,6 +53,37 @@ def test_a_document_may_lie_in_many_rows_and_tasks(spark, lines_from):
     assert as_dict(document_frequency(lines), "term", "df") == {"war": 2, "citi": 1}
 
 
+def scattered_lines(spark):
+    """Documents of 14, 4 and 23 characters and one of 8 without identifier, line by line; terms repeat across lines."""
+    rows = [(1, "running"), (2, "war"), (3, "cares Runs the"), (None, "run"), (1, ""), (3, "running"), (1, None), (1, "runs"), (None, "fox"), (4, None)]
+    return spark.createDataFrame(rows, "doc_id long, line string").repartition(3)
+
+
+SCATTERED = {"run": 3, "war": 1, "fox": 1}
+SCATTERED_UNSTEMMED = {"running": 2, "runs": 2, "run": 1, "war": 1, "fox": 1, "cares": 1}
+
+
+@pytest.mark.parametrize("limits", [{}, {"LONGEST_TOGETHER": 13}, {"LONGEST_TOGETHER": 4}, {"LONGEST_TOGETHER": 0}, {"LONGEST_TOGETHER": 4, "MOST_LONG": 1}, {"MOST_LISTED": 1}])
+def test_long_documents_and_lists_are_counted_alike(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(f"lexigrid.operators.indexing.{name}", value)
+    lines = scattered_lines(spark)
+    stop = spark.createDataFrame([("the",), ("care",), (None,)], "word string")
+    assert as_dict(document_frequency(lines, stop), "term", "df") == SCATTERED
+    assert as_dict(document_frequency(lines, stop, stemmed=False), "term", "df") == SCATTERED_UNSTEMMED
+
+
+def test_long_documents_are_found_by_all_their_lines(spark, monkeypatch):
+    keys = {r.doc_id: r.key for r in scattered_lines(spark).select("doc_id", F.xxhash64("doc_id").alias("key")).collect()}
+    assert long_documents(scattered_lines(spark)) == []
+    monkeypatch.setattr("lexigrid.operators.indexing.LONGEST_TOGETHER", 14)
+    assert sorted(long_documents(scattered_lines(spark))) == [keys[3]]
+    monkeypatch.setattr("lexigrid.operators.indexing.LONGEST_TOGETHER", 13)
+    assert sorted(long_documents(scattered_lines(spark))) == sorted([keys[1], keys[3]])
+    monkeypatch.setattr("lexigrid.operators.indexing.MOST_LONG", 1)
+    assert long_documents(scattered_lines(spark)) is None
+
+
 def test_top_terms_break_ties_by_term(spark):
     df = spark.createDataFrame([("b", 2), ("a", 2), ("c", 9)], "term string, df long")
     assert [r.term for r in top_terms(df, 2).collect()] == ["c", "a"]

@@ -75,6 +75,12 @@ def test_counts_are_added_up_before_the_only_shuffle(spark, name):
     assert text.index("Exchange hashpartitioning") < text.index("partial_count")
 
 
+@pytest.mark.parametrize("name", ["document_frequency_of_lines", "document_frequency_conversations"])
+def test_terms_travel_without_their_documents(spark, name):
+    shuffles = exchanges(plan(spark, name))
+    assert len(shuffles) == 2 and not [line for line in shuffles if "doc_id" in line and "term" in line]
+
+
 @pytest.mark.parametrize("name", ["pairs_by_line_d2", "stripes_by_line_d2", "occurrence_stripes_d3", "line_distinct_terms"])
 def test_work_on_single_lines_is_not_shuffled(spark, name):
     assert exchanges(plan(spark, name)) == []
